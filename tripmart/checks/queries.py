@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -336,8 +337,7 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     halves = trips.withColumn("passenger_count", F.col("trip_distance") / 2)
     _write_source(halves.where(flag == "N"), source, "green", 2)
     _write_source(trips.withColumnRenamed("extra", "Extra").where(flag == "R"), source, "green", 3)
-    as_of = F.lit("2023-06-15")
-    report = ingest(spark, source, dest, ["green"], [2023], strict=False, as_of=as_of)
+    report = ingest(spark, source, dest, ["green"], [2023], strict=False, as_of=date(2023, 6, 15))
     return report.select("file_name", "status", "n_rows", "n_bad")
 
 

@@ -40,12 +40,15 @@ def to_integer(df: DataFrame, name: str) -> Column:
 
 
 def to_numeric(df: DataFrame, name: str) -> Column:
-    """Exact decimal(38,9), halves away from zero; NaN is an error as it is for integers."""
+    """Exact decimal(38,9), halves away from zero.
+
+    NaN and infinity cast to null in Spark; they are an error here, as for integers.
+    """
     col = F.col(name)
     exact = col.cast(NUMERIC)
     if isinstance(field_type(df, name), FRACTIONAL):
-        not_a_number = F.raise_error(F.lit(f"{name} is NaN and has no {NUMERIC} value")).cast(NUMERIC)
-        return F.when(F.isnan(col), not_a_number).otherwise(exact)
+        no_value = F.raise_error(F.lit(f"{name} has no {NUMERIC} value")).cast(NUMERIC)
+        return F.coalesce(exact, F.when(col.isNotNull(), no_value))
     return exact
 
 

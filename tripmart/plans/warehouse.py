@@ -29,11 +29,12 @@ def build(
     zones_csv: str,
     facts: Sequence[str] = (TAXI_FACT_TABLE, FHV_FACT_TABLE),
     sample_limit: int | None = None,
+    location: str | None = None,
 ) -> dict[str, DataFrame]:
     """Register staging views, then refresh the zone table and the chosen fact tables.
 
     `raw` maps a feed to the location of its landed files. `sample_limit` keeps that
-    many rows per staging view, for trial runs.
+    many rows per staging view, for trial runs. `location` is where tables are put.
     """
     configure(spark)
     relations: dict[str, DataFrame] = {}
@@ -55,11 +56,11 @@ def build(
         staged[feed] = view(STAGING_VIEW % feed, trips)
 
     seed = view(ZONE_SEED, read_zones(spark, zones_csv))
-    zones = relations[ZONE_TABLE] = materialize(dim_zones(seed), ZONE_TABLE)
+    zones = relations[ZONE_TABLE] = materialize(dim_zones(seed), ZONE_TABLE, location=location)
     for fact in facts:
         if fact == TAXI_FACT_TABLE:
             rows = fact_taxi(staged["green"], staged["yellow"], zones)
         else:
             rows = fact_fhv(staged["fhv"], zones)
-        relations[fact] = materialize(rows, fact, timestamp="pickup_datetime")
+        relations[fact] = materialize(rows, fact, timestamp="pickup_datetime", location=location)
     return relations

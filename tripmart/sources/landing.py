@@ -11,6 +11,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -274,7 +275,7 @@ def ingest(
     strict: bool = True,
     on_error: str = "report",
     strict_names: bool = True,
-    as_of: Column | None = None,
+    as_of: date | None = None,
     feeds: Mapping[str, Feed] = FEEDS,
 ) -> DataFrame:
     """Land the wanted months from `source` below `dest`/raw, return one outcome per file.
@@ -290,7 +291,7 @@ def ingest(
     configure(spark)
 
     wanted = month_grid(
-        run_grid(spark, vehicle_types, years), F.current_date() if as_of is None else as_of, month
+        run_grid(spark, vehicle_types, years), F.current_date() if as_of is None else F.lit(as_of), month
     ).distinct()
     files = list_files(spark, source)
     available = files.select("file_name")

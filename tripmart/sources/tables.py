@@ -25,7 +25,7 @@ def register_external(spark: SparkSession, locations: Mapping[str, str]) -> None
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """The zone lookup CSV, its decimal key exposed as the integer that trips carry."""
-    zones = spark.read.schema(ZONES_CSV).option("header", True).option("mode", "FAILFAST").csv(path)
+    zones = spark.read.schema(ZONES_CSV).csv(path, header=True, escape='"', mode="FAILFAST")
     return zones.withColumn("locationid", F.round("locationid").cast("bigint"))
 
 
@@ -65,17 +65,21 @@ def read_days(
 
 
 def materialize(
-    df: DataFrame, name: str, timestamp: str | None = None, day: str = "pickup_date"
+    df: DataFrame,
+    name: str,
+    timestamp: str | None = None,
+    day: str = "pickup_date",
+    location: str | None = None,
 ) -> DataFrame:
-    """Full refresh of a table, partitioned by day if a timestamp is named."""
-    if timestamp is None:
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    else:
-        (
-            with_day(df, timestamp, day)
-            .write.mode("overwrite")
-            .format("parquet")
-            .partitionBy(day)
-            .saveAsTable(name)
-        )
+    """Full refresh of a table, partitioned by day if a timestamp is named.
+
+    `location` is the folder that holds the tables; the catalog's own by default.
+    """
+    rows = df if timestamp is None else with_day(df, timestamp, day)
+    writer = rows.write.mode("overwrite").format("parquet")
+    if timestamp is not None:
+        writer = writer.partitionBy(day)
+    if location is not None:
+        writer = writer.option("path", f"{location.rstrip('/')}/{name}")
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
