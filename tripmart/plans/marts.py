@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions import replace_literal
 from tripmart.operators import join_roles, tag_union
-from tripmart.registry import UNKNOWN_BOROUGH
+from tripmart.registry import PICKUP_DAY, UNKNOWN_BOROUGH
 
 # Fact columns in output order.
 TAXI_FACT = """
@@ -42,10 +42,15 @@ def with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return join_roles(trips, known, "locationid", ROLES, ["borough", "zone"])
 
 
+def _fact(trips: DataFrame, zones: DataFrame, columns: str) -> DataFrame:
+    """The fact columns, and the pickup day if the trips came clustered by it."""
+    day = [PICKUP_DAY] if PICKUP_DAY in trips.columns else []
+    return with_zones(trips, zones).select(*columns.split(), *day)
+
+
 def fact_taxi(green: DataFrame, yellow: DataFrame, zones: DataFrame) -> DataFrame:
-    trips = tag_union({"Green": green, "Yellow": yellow}, "service_type")
-    return with_zones(trips, zones).select(*TAXI_FACT.split())
+    return _fact(tag_union({"Green": green, "Yellow": yellow}, "service_type"), zones, TAXI_FACT)
 
 
 def fact_fhv(fhv: DataFrame, zones: DataFrame) -> DataFrame:
-    return with_zones(fhv, zones).select(*FHV_FACT.split())
+    return _fact(fhv, zones, FHV_FACT)

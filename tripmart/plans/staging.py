@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.functions import code_label, surrogate_key, to_integer, to_numeric, to_timestamp
 from tripmart.operators import conform_constants, dedup_first, sample
 from tripmart.registry import KEY_ZONE_SUFFIX, NUMERIC, PAYMENT_TYPES
+from tripmart.sources.tables import with_day
 
 # Staged columns in output order, as (name, raw column, type).
 TAXI_COLUMNS = """
@@ -69,41 +70,50 @@ def _staged(df: DataFrame, name: str, raw: str, kind: str) -> Column:
     return col.alias(name)
 
 
-def _project(df: DataFrame, spec: str, key: tuple[str, ...]) -> DataFrame:
-    """The key hashes raw columns, so it is taken in the same select as their casts."""
+def _project(df: DataFrame, spec: str, key: tuple[str, str], day: str | None) -> DataFrame:
+    """Type the columns; with `day`, cluster by the pickup day first.
+
+    Rows are moved at their raw width, before keys and exact decimals widen them.
+    The key hashes raw columns, so it is taken in the same select as their casts.
+    """
+    _, pickup = key
+    if day is not None:
+        df = with_day(df, pickup, day)
     tripid = surrogate_key(df, *key, zone_suffix=KEY_ZONE_SUFFIX).alias("tripid")
-    return df.select(tripid, *[_staged(df, *column) for column in _columns(spec)])
+    return df.select(tripid, *[_staged(df, *column) for column in _columns(spec)], *([day] if day else []))
 
 
 def _stage_taxi(
     raw: DataFrame,
     prefix: str,
     sample_limit: int | None,
-    constants: Mapping[str, tuple[Any, str]] | None = None,
+    day: str | None,
+    constants: Mapping[str, tuple[Any, str]],
 ) -> DataFrame:
     """One trip per vendor and pickup time.
 
-    Only the raw columns that are staged pass the shuffle, still in their raw
-    width; casts follow. All of them order the survivors, so equal runs agree.
+    Only the raw columns that are staged pass the shuffle. All of them order the
+    survivors, so equal runs agree.
     """
     spec, pickup = TAXI_COLUMNS.format(prefix=prefix), f"{prefix}_pickup_datetime"
-    constants = constants or {}
     used = list(dict.fromkeys(source for _, source, _ in _columns(spec) if source not in constants))
     known = raw.select(*used).where(F.col("vendorid").isNotNull())
     keys = [pickup, "vendorid"]
     kept = dedup_first(known, keys, [name for name in used if name not in keys])
     kept = conform_constants(kept, constants)
-    return sample(_project(kept, spec, ("vendorid", pickup)), sample_limit)
+    return sample(_project(kept, spec, ("vendorid", pickup), day), sample_limit)
 
 
-def stage_green(raw: DataFrame, sample_limit: int | None = None) -> DataFrame:
-    return _stage_taxi(raw, "lpep", sample_limit)
+def stage_green(raw: DataFrame, sample_limit: int | None = None, day: str | None = None) -> DataFrame:
+    return _stage_taxi(raw, "lpep", sample_limit, day, {})
 
 
-def stage_yellow(raw: DataFrame, sample_limit: int | None = None) -> DataFrame:
-    return _stage_taxi(raw, "tpep", sample_limit, YELLOW_CONSTANTS)
+def stage_yellow(raw: DataFrame, sample_limit: int | None = None, day: str | None = None) -> DataFrame:
+    return _stage_taxi(raw, "tpep", sample_limit, day, YELLOW_CONSTANTS)
 
 
-def stage_fhv(raw: DataFrame, sample_limit: int | None = None) -> DataFrame:
+def stage_fhv(raw: DataFrame, sample_limit: int | None = None, day: str | None = None) -> DataFrame:
     """All rows: this feed is neither deduplicated nor filtered."""
-    return sample(_project(raw, FHV_COLUMNS, ("dispatching_base_num", "pickup_datetime")), sample_limit)
+    used = list(dict.fromkeys(source for _, source, _ in _columns(FHV_COLUMNS)))
+    key = ("dispatching_base_num", "pickup_datetime")
+    return sample(_project(raw.select(*used), FHV_COLUMNS, key, day), sample_limit)

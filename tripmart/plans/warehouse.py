@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmart.operators import fits_broadcast, sample
 from tripmart.plans.marts import dim_zones, fact_fhv, fact_taxi
 from tripmart.plans.staging import stage_fhv, stage_green, stage_yellow
 from tripmart.registry import (
+    FEEDS,
     FHV_FACT_TABLE,
+    PICKUP_DAY,
     RAW_VIEW,
     STAGING_VIEW,
     TAXI_FACT_TABLE,
@@ -17,12 +21,27 @@ from tripmart.registry import (
     ZONE_TABLE,
 )
 from tripmart.session import configure
-from tripmart.sources import materialize, read_raw, read_zones
+from tripmart.sources import materialize, read_by_columns, read_zones, with_day
 
 STAGES = {"green": stage_green, "yellow": stage_yellow, "fhv": stage_fhv}
 FACT_FEEDS = {TAXI_FACT_TABLE: ("green", "yellow"), FHV_FACT_TABLE: ("fhv",)}
 
 
+def read_feed(spark: SparkSession, feed: str, location: str) -> list[DataFrame]:
+    """Landed files of a feed; those landed as they came may have several sets of types."""
+    if FEEDS[feed].raw_ddl:
+        return [spark.read.parquet(location)]
+    return read_by_columns(spark, location)
+
+
+def stage(
+    feed: str, parts: Sequence[DataFrame], sample_limit: int | None = None, day: str | None = None
+) -> DataFrame:
+    """A staging set; each kind of raw file is staged by its own types."""
+    staged = [STAGES[feed](part, day=day) for part in parts]
+    return sample(reduce(DataFrame.unionByName, staged), sample_limit)
+
+
 def build(
     spark: SparkSession,
     raw: Mapping[str, str],
@@ -31,36 +50,29 @@ def build(
     sample_limit: int | None = None,
     location: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Register staging views, then refresh the zone table and the chosen fact tables.
+    """Register raw and staging views, refresh the zone table and the chosen fact tables.
 
     `raw` maps a feed to the location of its landed files. `sample_limit` keeps that
     many rows per staging view, for trial runs. `location` is where tables are put.
     """
     configure(spark)
-    relations: dict[str, DataFrame] = {}
-
-    def view(name: str, df: DataFrame) -> DataFrame:
+    feeds = list(dict.fromkeys(feed for fact in facts for feed in FACT_FEEDS[fact]))
+    sources = {feed: read_feed(spark, feed, raw[feed]) for feed in feeds}
+    staged = {feed: stage(feed, parts, sample_limit) for feed, parts in sources.items()}
+    views = {RAW_VIEW % feed: reduce(DataFrame.unionByName, parts) for feed, parts in sources.items()}
+    views |= {STAGING_VIEW % feed: df for feed, df in staged.items()}
+    views[ZONE_SEED] = read_zones(spark, zones_csv)
+    for name, df in views.items():
         df.createOrReplaceTempView(name)
-        relations[name] = df
-        return df
-
-    staged = {}
-    for feed in dict.fromkeys(feed for fact in facts for feed in FACT_FEEDS[fact]):
-        if feed == "fhv":
-            # Landed as it came, so types may differ between months: stage each kind, then unite.
-            trips = read_raw(spark, raw[feed], stage_fhv)
-            trips = trips if sample_limit is None else trips.limit(sample_limit)
-        else:
-            source = view(RAW_VIEW % feed, spark.read.parquet(raw[feed]))
-            trips = STAGES[feed](source, sample_limit)
-        staged[feed] = view(STAGING_VIEW % feed, trips)
 
-    seed = view(ZONE_SEED, read_zones(spark, zones_csv))
-    zones = relations[ZONE_TABLE] = materialize(dim_zones(seed), ZONE_TABLE, location=location)
+    zones = materialize(dim_zones(views[ZONE_SEED]), ZONE_TABLE, location=location)
+    tables = {ZONE_TABLE: zones}
+    # Trips keep their place when the zones are broadcast, so they can be clustered while narrow.
+    early = sample_limit is None and fits_broadcast(zones)
     for fact in facts:
-        if fact == TAXI_FACT_TABLE:
-            rows = fact_taxi(staged["green"], staged["yellow"], zones)
-        else:
-            rows = fact_fhv(staged["fhv"], zones)
-        relations[fact] = materialize(rows, fact, timestamp="pickup_datetime", location=location)
-    return relations
+        trips = [stage(feed, sources[feed], day=PICKUP_DAY) if early else staged[feed] for feed in FACT_FEEDS[fact]]
+        rows = (fact_taxi if fact == TAXI_FACT_TABLE else fact_fhv)(*trips, zones)
+        if not early:
+            rows = with_day(rows, "pickup_datetime")
+        tables[fact] = materialize(rows, fact, partition_by=PICKUP_DAY, location=location)
+    return views | tables

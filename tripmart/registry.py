@@ -54,6 +54,9 @@ TAXI_FACT_TABLE = "fact_taxi_trips"
 FHV_FACT_TABLE = "fact_fhv_trips"
 # ----------------------------------------------------------------------------
 
+# Partition column of the fact tables.
+PICKUP_DAY = "pickup_date"
+
 
 @dataclass(frozen=True)
 class Feed:

@@ -1,4 +1,4 @@
-from tripmart.sources.landing import IngestError, ingest, read_raw
+from tripmart.sources.landing import IngestError, ingest, read_by_columns, read_raw
 from tripmart.sources.tables import (
     materialize,
     read_days,
@@ -13,6 +13,7 @@ __all__ = [
     "IngestError",
     "ingest",
     "materialize",
+    "read_by_columns",
     "read_days",
     "read_raw",
     "read_zones",

@@ -52,6 +52,10 @@ class Month:
     error: str | None = None
     missing: bool = False
 
+    def whole(self, part: str) -> str:
+        """Path of the published file that `part` belongs to."""
+        return part[: part.rindex(self.file_name) + len(self.file_name)]
+
     def fail(self, why: str) -> None:
         self.error = self.error or why
 
@@ -81,12 +85,16 @@ def _nanos_readable(spark: SparkSession):
 
 
 def _by_columns(months: Iterable[Month]) -> dict[str, list[str]]:
-    """Paths that share the same columns and types can be read together."""
+    """Paths that share the same columns and types can be read together.
+
+    A folder whose parts agree is named as one path: its parts need not be looked up one by one.
+    """
     groups: dict[str, list[str]] = defaultdict(list)
     for month in months:
+        kinds = set(month.parts.values())
         for path, columns in month.parts.items():
-            groups[columns].append(path)
-    return groups
+            groups[columns].append(path if len(kinds) > 1 else month.whole(path))
+    return {columns: sorted(set(paths)) for columns, paths in groups.items()}
 
 
 def _collect_months(files: DataFrame) -> list[Month]:
@@ -238,9 +246,8 @@ def _land_as_is(spark: SparkSession, months: list[Month], path: str) -> None:
         touched = [month for month in clean if columns in month.parts.values()]
         for again in (False, True):
             chosen = [month for month in touched if (month.file_name in written) == again]
-            paths = [p for month in chosen for p, kinds in month.parts.items() if kinds == columns]
-            if paths:
-                df = _with_month(spark.read.parquet(*paths), ["*"])
+            if chosen:
+                df = _with_month(spark.read.parquet(*_by_columns(chosen)[columns]), ["*"])
                 _write_months(df, path, "append" if again else "overwrite")
                 _empty_months(df.drop("year", "month"), chosen, path)
         written |= {month.file_name for month in touched}
@@ -324,15 +331,10 @@ def ingest(
     return spark.createDataFrame(outcomes, REPORT)
 
 
-def read_raw(
-    spark: SparkSession,
-    location: str,
-    project: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
-    """Read a folder of Parquet files whose types differ between months.
+def read_by_columns(spark: SparkSession, location: str) -> list[DataFrame]:
+    """Read a folder of Parquet files whose types differ, as one DataFrame per set of columns.
 
-    One reader per distinct set of columns, `project` brings each to common types,
-    then all are united. Files that agree cost one plain scan.
+    Files that all agree give one plain scan.
     """
     groups: dict[str, list[str]] = defaultdict(list)
     for row in read_footers(list_parquet(spark, location)).collect():
@@ -341,5 +343,19 @@ def read_raw(
         groups[row["columns"]].append(row["path"])
     if not groups:
         raise FileNotFoundError(f"no Parquet file below {location}")
-    project = project or (lambda df: df)
-    return reduce(DataFrame.unionByName, [project(spark.read.parquet(*paths)) for paths in groups.values()])
+    if len(groups) == 1:
+        return [spark.read.parquet(location)]
+    return [spark.read.parquet(*paths) for paths in groups.values()]
+
+
+def read_raw(
+    spark: SparkSession,
+    location: str,
+    project: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """All rows of such a folder: `project` brings each kind to common types, then they are united.
+
+    Without `project` Spark widens the types as in any union.
+    """
+    parts = read_by_columns(spark, location)
+    return reduce(DataFrame.unionByName, map(project, parts) if project else parts)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.casts import field_type
-from tripmart.registry import ZONES_CSV
+from tripmart.registry import PICKUP_DAY, ZONES_CSV
 
 
 def scan_parquet(spark: SparkSession, location: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -29,7 +29,7 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     return zones.withColumn("locationid", F.round("locationid").cast("bigint"))
 
 
-def with_day(df: DataFrame, timestamp: str, day: str) -> DataFrame:
+def with_day(df: DataFrame, timestamp: str, day: str = PICKUP_DAY) -> DataFrame:
     """Add the partition day and bring its rows together.
 
     A rebalance, not a repartition: adaptive execution splits a day that holds a
@@ -39,7 +39,7 @@ def with_day(df: DataFrame, timestamp: str, day: str) -> DataFrame:
 
 
 def write_day_partitioned(
-    df: DataFrame, path: str, timestamp: str = "pickup_datetime", day: str = "pickup_date"
+    df: DataFrame, path: str, timestamp: str = "pickup_datetime", day: str = PICKUP_DAY
 ) -> None:
     with_day(df, timestamp, day).write.mode("overwrite").partitionBy(day).parquet(path)
 
@@ -49,7 +49,7 @@ def read_days(
     start: datetime,
     end: datetime,
     timestamp: str = "pickup_datetime",
-    day: str = "pickup_date",
+    day: str = PICKUP_DAY,
 ) -> DataFrame:
     """Rows with start <= timestamp < end.
 
@@ -65,20 +65,16 @@ def read_days(
 
 
 def materialize(
-    df: DataFrame,
-    name: str,
-    timestamp: str | None = None,
-    day: str = "pickup_date",
-    location: str | None = None,
+    df: DataFrame, name: str, partition_by: str | None = None, location: str | None = None
 ) -> DataFrame:
-    """Full refresh of a table, partitioned by day if a timestamp is named.
+    """Full refresh of a table.
 
-    `location` is the folder that holds the tables; the catalog's own by default.
+    Rows should come clustered by `partition_by`, see `with_day`. `location` is the
+    folder that holds the tables; the catalog's own by default.
     """
-    rows = df if timestamp is None else with_day(df, timestamp, day)
-    writer = rows.write.mode("overwrite").format("parquet")
-    if timestamp is not None:
-        writer = writer.partitionBy(day)
+    writer = df.write.mode("overwrite").format("parquet")
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
     if location is not None:
         writer = writer.option("path", f"{location.rstrip('/')}/{name}")
     writer.saveAsTable(name)
