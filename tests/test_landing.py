@@ -151,6 +151,46 @@ def test_month_of_several_parts_is_one_unit(spark, tmp_path):
     assert [row[-1] for row in landed(spark, tmp_path / "out")] == [1] * 4
 
 
+def test_96_bit_times_land(spark, tmp_path):
+    for feed in ("green", "fhv"):
+        path = tmp_path / f"{feed}_tripdata_2023-01.parquet"
+        pq.write_table(months(), path, use_deprecated_int96_timestamps=True)
+        report = run(spark, tmp_path, tmp_path / "out", feed)
+        assert report[1]["error"] is None
+        assert AT in [row[1] for row in landed(spark, tmp_path / "out", feed)]
+
+
+def long_months(n, **columns):
+    base = {
+        "VendorID": pa.array(["1"] * n),
+        "pickup": pa.array([AT] * n, pa.timestamp("us")),
+        "zone": pa.array(range(n), pa.int64()),
+        "fare": pa.array([float(i) for i in range(n)]),
+    }
+    return pa.table({**base, **columns})
+
+
+@pytest.mark.parametrize("feed", ["green", "fhv"])
+@pytest.mark.parametrize("column", ["zone", "fare"])
+def test_bad_pages_reject_their_file_alone(spark, tmp_path, feed, column):
+    """The footer is whole. `zone` is damaged where values are checked, `fare` only where they are written."""
+    drift = {"zone": pa.array([float(i) for i in range(5000)])}
+    put(tmp_path / "in", long_months(5000, **drift), feed, 1)
+    put(tmp_path / "in", long_months(5000, **drift), feed, 2)
+    path = tmp_path / "in" / f"{feed}_tripdata_2023-02.parquet"
+    chunk = pq.ParquetFile(path).metadata.row_group(0).column(["VendorID", "pickup", "zone", "fare"].index(column))
+    data = bytearray(path.read_bytes())
+    start = chunk.dictionary_page_offset or chunk.data_page_offset
+    data[start : start + chunk.total_compressed_size] = b"\xab" * chunk.total_compressed_size
+    path.write_bytes(data)
+    report = run(spark, tmp_path / "in", tmp_path / "out", feed)
+    assert report[1]["status"] == "landed"
+    assert report[2]["status"] == "failed"
+    assert "unreadable data" in report[2]["error"]
+    rows = landed(spark, tmp_path / "out", feed)
+    assert (len(rows), {row[-1] for row in rows}) == (5000, {1})
+
+
 def test_odd_paths(spark, tmp_path):
     source = tmp_path / "in put+100%"
     put(source, months(), month=1)

@@ -66,7 +66,13 @@ def read_footers(files: DataFrame) -> DataFrame:
                 fs, name = pafs.FileSystem.from_uri(path)
             with fs.open_input_file(name) as handle:
                 footer = pq.ParquetFile(handle)
-                columns = [[column.name, str(column.type)] for column in footer.schema_arrow]
+                stored = [footer.schema.column(i) for i in range(len(footer.schema))]
+                # Arrow shows 96-bit times as nanoseconds; Spark reads them, unlike 64-bit ones.
+                int96 = {column.path for column in stored if column.physical_type == "INT96"}
+                columns = [
+                    [column.name, "int96" if column.name in int96 else str(column.type)]
+                    for column in footer.schema_arrow
+                ]
                 return json.dumps(columns), footer.metadata.num_rows, None
 
         for batch in batches:

@@ -7,22 +7,24 @@ holds. Footers are read, values checked and files written in tasks.
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
+from typing import NamedTuple, TypeVar
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.functions.casts import safe_cast
 from tripmart.operators.manifest import month_grid, run_grid, split_available
 from tripmart.registry import DEFAULT_VEHICLE_TYPES, FEEDS, Feed, feed_of
 from tripmart.session import configure
+from tripmart.sources.enforce import NANOS, enforce_schema
 from tripmart.sources.footers import list_files, list_parquet, month_of_file, read_footers, same_path
 
 REPORT = (
@@ -30,7 +32,9 @@ REPORT = (
     "status string, n_rows bigint, n_bad bigint, error string"
 )
 LANDED, FAILED, MISSING = "landed", "failed", "missing"
-NANOS = "timestamp[ns"
+UNREADABLE = re.compile(r"\[FAILED_READ_FILE\S*\] Encountered error while reading file (\S+)\.\s")
+
+Result = TypeVar("Result")
 
 
 class IngestError(RuntimeError):
@@ -111,57 +115,24 @@ def _collect_months(files: DataFrame) -> list[Month]:
     return list(months.values())
 
 
-def _source_column(name: str, arrow_type: str, dtype: T.DataType) -> tuple[Column, T.DataType, Column | None]:
-    """The column as Spark reads it; nanoseconds become times, the rest below a microsecond is a loss."""
-    col = F.col(f"`{name}`")
-    if arrow_type.startswith(NANOS):
-        micros = F.timestamp_micros(F.expr(f"`{name}` div 1000"))
-        return micros.cast("timestamp_ntz"), T.TimestampNTZType(), col % 1000 != 0
-    return col, dtype, None
-
-
-def enforce_schema(
-    df: DataFrame,
-    schema: T.StructType,
-    arrow_types: Mapping[str, str] | None = None,
-    strict_names: bool = True,
-) -> tuple[list[Column], dict[str, Column]]:
-    """Casts of `df` to `schema`, and per column where a cast would lose a value.
+class Group(NamedTuple):
+    """Files with equal columns: how to read them, how to cast them, where a cast would lose a value."""
 
-    Raises ValueError if names or types cannot match at all.
-    """
-    wanted = schema.fieldNames()
-    if strict_names and df.columns != wanted:
-        raise ValueError(f"columns are {df.columns}, expected {wanted}")
-    present = {f.name.lower(): f for f in df.schema.fields}
-    casts, bad = [], {}
-    for target in schema.fields:
-        source = present.get(target.name.lower())
-        if source is None:
-            raise ValueError(f"no column {target.name}")
-        col, dtype, lossy = _source_column(
-            source.name, (arrow_types or {}).get(source.name, ""), source.dataType
-        )
-        cast = safe_cast(col, dtype, target.dataType)
-        if cast is None:
-            raise ValueError(f"column {target.name}: {dtype.simpleString()} does not convert")
-        casts.append(cast.value.alias(target.name))
-        checks = [check for check in (lossy, cast.bad) if check is not None]
-        if checks:
-            bad[target.name] = reduce(Column.__or__, checks)
-    return casts, bad
+    schema: T.StructType
+    casts: list[Column]
+    bad: dict[str, Column]
 
 
 def _enforced_groups(
     spark: SparkSession, feed: Feed, months: list[Month], strict_names: bool
-) -> dict[str, tuple[DataFrame, list[Column], dict[str, Column]]]:
-    """Readable groups by their columns; months whose names or types do not match are failed."""
+) -> dict[str, Group]:
+    """Groups by their columns; months whose names or types do not match are failed."""
     groups = {}
     for columns, paths in _by_columns(months).items():
-        arrow_types = dict(json.loads(columns))
         try:
             df = spark.read.parquet(*paths)
-            groups[columns] = (df, *enforce_schema(df, feed.schema, arrow_types, strict_names))
+            casts, bad = enforce_schema(df, feed.schema, dict(json.loads(columns)), strict_names)
+            groups[columns] = Group(df.schema, casts, bad)
         except (ValueError, AnalysisException) as problem:
             for month in months:
                 if columns in month.parts.values():
@@ -169,27 +140,54 @@ def _enforced_groups(
     return groups
 
 
-def _check_values(groups: Mapping, months: list[Month]) -> None:
-    """Count lossy values per file in one job over only the columns that could lose any."""
+def _read_groups(
+    spark: SparkSession, groups: Mapping[str, Group], months: Iterable[Month]
+) -> list[tuple[Group, DataFrame]]:
+    return [
+        (groups[columns], spark.read.schema(groups[columns].schema).parquet(*paths))
+        for columns, paths in _by_columns(months).items()
+    ]
+
+
+def _bad_values(parts: Iterable[tuple[Group, DataFrame]]) -> list[Row]:
+    """Lossy values per file and column: one job over only the columns that could lose any."""
     counts = []
-    for df, _, bad in groups.values():
-        if bad:
+    for group, df in parts:
+        if group.bad:
             per_file = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-                *[F.count_if(check).alias(name) for name, check in bad.items()]
+                *[F.count_if(check).alias(name) for name, check in group.bad.items()]
             )
-            counts.append(
-                per_file.select(
-                    "path",
-                    F.map_filter(
-                        F.create_map(*[part for name in bad for part in (F.lit(name), F.col(f"`{name}`"))]),
-                        lambda _, n: n > 0,
-                    ).alias("bad"),
-                ).where(F.size("bad") > 0)
-            )
-    if not counts:
-        return
+            by_name = F.create_map(*[part for name in group.bad for part in (F.lit(name), F.col(f"`{name}`"))])
+            lost = F.map_filter(by_name, lambda _, n: n > 0).alias("bad")
+            counts.append(per_file.select("path", lost).where(F.size("bad") > 0))
+    return reduce(DataFrame.unionAll, counts).collect() if counts else []
+
+
+def _good(months: Iterable[Month]) -> list[Month]:
+    return [month for month in months if not month.error]
+
+
+def _isolating(months: list[Month], action: Callable[[list[Month]], Result]) -> Result:
+    """Run `action` on the good months.
+
+    A footer can be fine and a data page not, which only reading shows and which ends
+    the job. Then that month is failed and the action is run without it.
+    """
     owner = {same_path(path): month for month in months for path in month.parts}
-    for row in reduce(DataFrame.unionAll, counts).collect():
+    while True:
+        try:
+            return action(_good(months))
+        except Exception as problem:
+            found = UNREADABLE.search(str(problem))
+            month = owner.get(same_path(found[1], encoded=True)) if found else None
+            if month is None or month.error:
+                raise
+            month.fail(f"unreadable data in {same_path(found[1], encoded=True)}")
+
+
+def _check_values(spark: SparkSession, groups: Mapping[str, Group], months: list[Month]) -> None:
+    owner = {same_path(path): month for month in months for path in month.parts}
+    for row in _isolating(months, lambda good: _bad_values(_read_groups(spark, groups, good))):
         month = owner[same_path(row["path"], encoded=True)]
         month.n_bad += sum(row["bad"].values())
         lost = ", ".join(f"{name} ({n})" for name, n in sorted(row["bad"].items()))
@@ -219,38 +217,38 @@ def _empty_months(df: DataFrame, months: Iterable[Month], path: str) -> None:
 
 
 def _land_enforced(spark: SparkSession, feed: Feed, months: list[Month], path: str, strict_names: bool) -> None:
-    readable = [month for month in months if not month.error]
-    groups = _enforced_groups(spark, feed, readable, strict_names)
-    checked = [month for month in readable if not month.error]
-    _check_values(groups, readable)
-    clean = [month for month in checked if not month.error]
-    parts = []
-    for columns, paths in _by_columns(clean).items():
-        df, casts, _ = groups[columns]
-        parts.append(_with_month(spark.read.schema(df.schema).parquet(*paths), casts))
-    if parts:
-        landed = reduce(DataFrame.unionByName, parts)
-        _write_months(landed, path)
-        _empty_months(landed.drop("year", "month"), clean, path)
+    groups = _enforced_groups(spark, feed, _good(months), strict_names)
+    _check_values(spark, groups, _good(months))
+
+    def write(good: list[Month]) -> None:
+        if good:
+            parts = [_with_month(df, group.casts) for group, df in _read_groups(spark, groups, good)]
+            landed = reduce(DataFrame.unionByName, parts)
+            _write_months(landed, path)
+            _empty_months(landed.drop("year", "month"), good, path)
+
+    _isolating(_good(months), write)
 
 
 def _land_as_is(spark: SparkSession, months: list[Month], path: str) -> None:
     """One write per set of columns; a month spread over several is replaced, then appended to."""
-    readable = [month for month in months if not month.error]
-    for month in readable:
+    for month in _good(months):
         if any(kind.startswith(NANOS) for columns in month.parts.values() for _, kind in json.loads(columns)):
             month.fail("nanosecond times cannot be kept unchanged")
-    clean = [month for month in readable if not month.error]
-    written: set[str] = set()
-    for columns in _by_columns(clean):
-        touched = [month for month in clean if columns in month.parts.values()]
-        for again in (False, True):
-            chosen = [month for month in touched if (month.file_name in written) == again]
-            if chosen:
-                df = _with_month(spark.read.parquet(*_by_columns(chosen)[columns]), ["*"])
-                _write_months(df, path, "append" if again else "overwrite")
-                _empty_months(df.drop("year", "month"), chosen, path)
-        written |= {month.file_name for month in touched}
+
+    def write(good: list[Month]) -> None:
+        written: set[str] = set()
+        for columns in _by_columns(good):
+            touched = [month for month in good if columns in month.parts.values()]
+            for again in (False, True):
+                chosen = [month for month in touched if (month.file_name in written) == again]
+                if chosen:
+                    df = _with_month(spark.read.parquet(*_by_columns(chosen)[columns]), ["*"])
+                    _write_months(df, path, "append" if again else "overwrite")
+                    _empty_months(df.drop("year", "month"), chosen, path)
+            written |= {month.file_name for month in touched}
+
+    _isolating(_good(months), write)
 
 
 def _check_arguments(
