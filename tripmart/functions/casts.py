@@ -16,7 +16,7 @@ TIMES = (T.TimestampType, T.TimestampNTZType)
 
 MAX_EXACT_DOUBLE = 2**53
 INTEGER_TEXT = r"^-?[0-9]+$"
-NUMBER_TEXT = r"(?i)^-?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|nan|inf|infinity)$"
+NUMBER_TEXT = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|nan|inf|infinity)$"
 
 
 def field_type(df: DataFrame, name: str) -> T.DataType:
@@ -57,7 +57,11 @@ def to_timestamp(name: str) -> Column:
 
 
 def number_text(col: Column) -> Column:
-    """Shortest text of a floating number: 1, 1.5, 1e+10, 1e-7."""
+    """Text of a floating number: 1, 1.5, 1e+10, 1e-7.
+
+    Digits are those Java prints, which before JDK 19 are not always the shortest
+    for numbers of 16 digits or more.
+    """
     text = col.cast("string")
     size = F.abs(col)
     plain = F.rtrim(F.rtrim(text.cast("decimal(38,24)").cast("string"), F.lit("0")), F.lit("."))
