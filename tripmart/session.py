@@ -8,13 +8,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings: results (time zone, ANSI errors) and skew handling (AQE).
+# Runtime settings: results (time zone, ANSI errors), skew handling (AQE), and few
+# files open at once, so that a task that writes few partitions need not sort its rows.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 SHUFFLE_PARTITION_BYTES = 192 * 1024**2
@@ -37,6 +39,7 @@ def sizing(shuffle_bytes: int, cores: int) -> dict[str, str]:
     return {
         "spark.sql.shuffle.partitions": str(wanted),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
     }
 

@@ -130,7 +130,7 @@ def _enforced_groups(
     groups = {}
     for columns, paths in _by_columns(months).items():
         try:
-            df = spark.read.parquet(*paths)
+            df = spark.read.parquet(paths[0])
             casts, bad = enforce_schema(df, feed.schema, dict(json.loads(columns)), strict_names)
             groups[columns] = Group(df.schema, casts, bad)
         except (ValueError, AnalysisException) as problem:
