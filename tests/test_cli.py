@@ -34,6 +34,20 @@ def test_land_and_build(spark, tmp_path):
         main(["ingest", "--source", source, "--dest", dest, "--year", "2022", "--raise-if-any-not-found"])
 
 
+def test_only_published_files_are_wanted(spark, tmp_path):
+    base = "https://files.example.org/trip-data"
+    page = tmp_path / "page.html"
+    page.write_text(f'<a href="{base}/fhv_tripdata_2022-02.parquet">February</a>\n<p>no other</p>')
+    for month in (1, 2):
+        spark.range(month).write.parquet(f"{tmp_path}/in/fhv_tripdata_2022-{month:02d}.parquet")
+    run = ["ingest", "--source", f"{tmp_path}/in", "--dest", f"{tmp_path}/out", "--vehicle-type", "fhv", "--year", "2022"]
+    main([*run, "--pages", str(page), "--base-url", base])
+    rows = spark.read.parquet(f"{tmp_path}/out/raw/vehicle_type=fhv").collect()
+    assert [(row["year"], row["month"]) for row in rows] == [(2022, 2)] * 2
+    with pytest.raises(SystemExit):
+        main([*run, "--pages", str(page)])
+
+
 def test_unknown_vehicle_type_is_refused():
     with pytest.raises(SystemExit):
         parser().parse_args(["ingest", "--source", "s", "--dest", "d", "--vehicle-type", "boat"])

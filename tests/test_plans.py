@@ -164,6 +164,11 @@ def test_build_whole_warehouse(spark, tmp_path, limit):
         spark.sql(f"DROP TABLE {table}")
 
 
-def test_sizing_follows_the_data():
-    assert sizing(100 * 1024**4, 4000)["spark.sql.shuffle.partitions"] == "546134"
-    assert sizing(1, 16)["spark.sql.shuffle.partitions"] == "16"
+@pytest.mark.parametrize(
+    ("size", "partitions", "split"),
+    [(1, 16, 128 * 1024**2), (1024**4, 5462, 128 * 1024**2), (100 * 1024**4, 50_000, 1024**3)],
+)
+def test_sizing_follows_the_data(size, partitions, split):
+    settings = sizing(size, cores=16)
+    assert settings["spark.sql.shuffle.partitions"] == str(partitions)
+    assert settings["spark.sql.files.maxPartitionBytes"] == str(split)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from tripmart.operators import extract_links
 from tripmart.plans import build
 from tripmart.registry import DEFAULT_VEHICLE_TYPES, FHV_FACT_TABLE, TAXI_FACT_TABLE, VEHICLE_TYPES
 from tripmart.sources import ingest
@@ -23,6 +24,8 @@ def parser() -> argparse.ArgumentParser:
     land.add_argument("--vehicle-type", nargs="+", choices=VEHICLE_TYPES, default=list(DEFAULT_VEHICLE_TYPES))
     land.add_argument("--year", nargs="+", type=int)
     land.add_argument("--month", type=int)
+    land.add_argument("--pages", help="saved pages of the publisher; only files linked there are wanted")
+    land.add_argument("--base-url", help="what a published link begins with; needed with --pages")
     land.add_argument("--raise-if-any-not-found", action="store_true")
     land.add_argument("--raise-if-any-rejected", action="store_true")
 
@@ -36,11 +39,19 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
-    args = parser().parse_args(arguments)
+    top = parser()
+    args = top.parse_args(arguments)
+    if args.command == "ingest" and args.pages and not args.base_url:
+        top.error("--pages needs --base-url")
     spark = SparkSession.builder.appName(f"tripmart-{args.command}").getOrCreate()
     if args.command == "ingest":
+        published = None
+        if args.pages:
+            pages = spark.read.text(args.pages, wholetext=True)
+            published = extract_links(pages, "value", args.base_url)
         report = ingest(
             spark, args.source, args.dest, args.vehicle_type, args.year, args.month,
+            published=published,
             strict=args.raise_if_any_not_found,
             on_error="raise" if args.raise_if_any_rejected else "report",
         )

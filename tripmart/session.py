@@ -19,7 +19,10 @@ SETTINGS = {
     "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
-SHUFFLE_PARTITION_BYTES = 192 * 1024**2
+MIB = 1024**2
+SHUFFLE_PARTITION_BYTES = 192 * MIB
+MAX_SHUFFLE_PARTITIONS = 50_000
+MIN_SPLIT_BYTES, MAX_SPLIT_BYTES, MAX_SPLITS = 128 * MIB, 1024 * MIB, 100_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -29,14 +32,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def sizing(shuffle_bytes: int, cores: int) -> dict[str, str]:
-    """Shuffle settings for a job that shuffles about `shuffle_bytes`.
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Split and shuffle settings for a job that reads and shuffles about `input_bytes`.
 
     AQE merges small partitions after the fact but cannot make more of them, so
-    the initial number follows the data.
+    the initial number follows the data. Both sides of a shuffle are bounded, as it
+    holds one block for each pair of tasks; beyond that tasks grow and spill.
     """
-    wanted = max(cores, math.ceil(shuffle_bytes / SHUFFLE_PARTITION_BYTES))
+    split = min(max(input_bytes // MAX_SPLITS, MIN_SPLIT_BYTES), MAX_SPLIT_BYTES)
+    wanted = min(max(cores, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES)), MAX_SHUFFLE_PARTITIONS)
     return {
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(wanted),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
