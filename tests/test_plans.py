@@ -1,4 +1,5 @@
 import datetime as dt
+from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -104,24 +105,55 @@ def test_days_prune(spark, tmp_path):
     assert table.count() == len(times)
 
 
-def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
+@contextmanager
+def small_partitions(spark):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(key)
+    spark.conf.set(key, "256KB")
     try:
-        spark.conf.set(key, "256KB")
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    with small_partitions(spark):
         day = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).cast("int")
         trips = spark.range(0, 400_000, 1, 16).select(
             "id", F.col("id").cast("string").alias("s"), F.timestamp_seconds(day * 86400).alias("pickup_datetime")
         )
         write_day_partitioned(trips, str(tmp_path / "days"))
-    finally:
-        spark.conf.set(key, before)
     files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "days").glob("pickup_date=*")}
     assert len(files) == 20
     assert files["pickup_date=1970-01-01"] > 2
     assert spark.read.parquet(str(tmp_path / "days")).count() == 400_000
 
 
+def test_facts_cluster_by_day_while_narrow(spark, tmp_path):
+    """One exchange, below the joins; a hot day is still split, and no row is lost."""
+    day = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).cast("int")
+    raw = spark.range(0, 200_000, 1, 16).select(
+        F.col("id").cast("string").alias("dispatching_base_num"),
+        F.lit("b").alias("affiliated_base_number"),
+        F.timestamp_seconds(day * 86400).alias("pickup_datetime"),
+        F.timestamp_seconds(day * 86400).alias("dropoff_datetime"),
+        (F.col("id") % 25).alias("pulocationid"),
+        (F.col("id") % 24).alias("dolocationid"),
+        F.lit(1).alias("sr_flag"),
+    )
+    zones = dim_zones(roles.nation_zones(spark, SF_DIR))
+    with small_partitions(spark):
+        fact = fact_fhv(stage_fhv(raw, day="pickup_date"), zones)
+        plan = final_plan(fact).split("== Initial Plan ==")[0]
+        fact.write.partitionBy("pickup_date").parquet(str(tmp_path / "fact"))
+    assert plan.count("Exchange hashpartitioning(pickup_date") == plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("BroadcastHashJoin") < plan.index("Exchange hashpartitioning(pickup_date")
+    assert len(list((tmp_path / "fact" / "pickup_date=1970-01-01").glob("*.parquet"))) > 2
+    late = fact_fhv(stage_fhv(raw), zones)
+    assert spark.read.parquet(str(tmp_path / "fact")).count() == late.count()
+    assert fact.drop("pickup_date").exceptAll(late).isEmpty()
+
+
 def test_materialize_and_register(spark, tmp_path):
     zones = dim_zones(roles.nation_zones(spark, SF_DIR))
     for _ in range(2):
