@@ -49,7 +49,8 @@ def same(a, b):
 @pytest.mark.parametrize("case", CASES)
 def test_same_values_and_same_losses(spark, case):
     values, source, spark_source, target, spark_target = CASES[case]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], T.StructType().add("i", T.IntegerType()).add("x", spark_source))
+    schema = T.StructType().add("i", T.IntegerType()).add("x", spark_source)
+    df = spark.createDataFrame(list(enumerate(values)), schema)
     cast = safe_cast(F.col("x"), spark_source, spark_target)
     bad = F.lit(False) if cast.bad is None else F.coalesce(cast.bad, F.lit(False))
     lossy = {row["i"] for row in df.where(bad).collect()}

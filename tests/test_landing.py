@@ -123,7 +123,8 @@ def test_on_error_raise_lands_the_others_first(spark, tmp_path):
 
 
 def test_loose_names(spark, tmp_path):
-    put(tmp_path / "in", months().select(["fare", "zone", "pickup", "VendorID"]).rename_columns(["FARE", "zone", "pickup", "vendorid"]))
+    shuffled = months().select(["fare", "zone", "pickup", "VendorID"])
+    put(tmp_path / "in", shuffled.rename_columns(["FARE", "zone", "pickup", "vendorid"]))
     assert run(spark, tmp_path / "in", tmp_path / "out", strict_names=False)[1]["status"] == "landed"
     assert landed(spark, tmp_path / "out")[0] == ("1", AT, 7, 2.5, 2023, 1)
 
@@ -191,6 +192,15 @@ def test_bad_pages_reject_their_file_alone(spark, tmp_path, feed, column):
     assert (len(rows), {row[-1] for row in rows}) == (5000, {1})
 
 
+def test_a_file_in_two_places_is_ambiguous(spark, tmp_path):
+    put(tmp_path / "in" / "a", months(), month=1)
+    put(tmp_path / "in" / "b", months(), month=1)
+    put(tmp_path / "in" / "b", months(), month=2)
+    report = run(spark, tmp_path / "in", tmp_path / "out")
+    assert (report[1]["status"], report[2]["status"]) == ("failed", "landed")
+    assert "more than once" in report[1]["error"]
+
+
 def test_odd_paths(spark, tmp_path):
     source = tmp_path / "in put+100%"
     put(source, months(), month=1)

@@ -64,7 +64,8 @@ def test_staging_invariants(spark):
     assert len(fact.columns) == 27
     known = [row[0] for row in zones.where("borough <> 'Unknown'").select("locationid").collect()]
     union = staged.unionByName(yellow)
-    assert fact.count() == union.where(F.col("pickup_locationid").isin(known) & F.col("dropoff_locationid").isin(known)).count()
+    both_known = F.col("pickup_locationid").isin(known) & F.col("dropoff_locationid").isin(known)
+    assert fact.count() == union.where(both_known).count()
 
 
 def test_staging_reads_only_what_it_stages(spark):

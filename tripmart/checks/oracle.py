@@ -100,6 +100,8 @@ def report_month(month: int, flag: str, status: str, n_bad: str) -> str:
 ORACLE: dict[str, str] = {
     "scan_parquet": f"""
         SELECT l_orderkey, l_linenumber, l_quantity, {time_text("l_shipdate")} AS l_shipdate FROM lineitem""",
+    "register_external": f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus, {time_text("o_orderdate")} AS o_orderdate FROM orders""",
     "seed_csv": SUPPLIER_ZONE_ROWS,
     "surrogate_key": f"""
         SELECT o_orderkey, {surrogate("o_custkey", "o_orderdate", "")} AS tripid FROM orders""",
@@ -147,6 +149,7 @@ ORACLE: dict[str, str] = {
     "write_day_partitioned": f"""
         SELECT event_id, {time_text("ts")} AS pickup_datetime, user_id, event_type, value, props,
             strftime(ts, '%Y-%m-%d') AS pickup_date FROM events""",
+    "materialize_table": f"SELECT *, substr(pickup_datetime, 1, 10) AS pickup_date FROM ({fact(STG_C)})",
     "sample_limit": f"""
         SELECT least(count(*), 10) AS n_rows, least(count(DISTINCT tripid), 10) AS n_trips,
             least(count(vendorid), 10) AS n_vendors FROM ({STG_A})""",

@@ -36,9 +36,17 @@ from tripmart.operators import (
 )
 from tripmart.plans import dim_zones, fact_fhv, fact_taxi, stage_fhv, stage_green, stage_yellow
 from tripmart.plans.staging import YELLOW_CONSTANTS
-from tripmart.registry import PAYMENT_TYPES, UNKNOWN_BOROUGH
+from tripmart.registry import PAYMENT_TYPES, PICKUP_DAY, UNKNOWN_BOROUGH
 from tripmart.session import configure, scratch_dir
-from tripmart.sources import ingest, read_raw, read_zones, scan_parquet, write_day_partitioned
+from tripmart.sources import (
+    ingest,
+    materialize,
+    read_raw,
+    read_zones,
+    register_external,
+    scan_parquet,
+    write_day_partitioned,
+)
 from tripmart.sources.landing import raw_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +76,11 @@ def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, f"{sf_dir}/lineitem*.parquet", columns)
 
 
+def external_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_external(spark, {"orders_external": f"{sf_dir}/orders*.parquet"})
+    return spark.sql("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders_external")
+
+
 def seed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "zones-csv")
     zones = roles.supplier_zones(spark, sf_dir)
@@ -242,6 +255,14 @@ def days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("pickup_date", F.col("pickup_date").cast("string"))
 
 
+def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table as a day-partitioned table, clustered while rows are narrow."""
+    trips = stage_fhv(roles.fhv_raw(spark, sf_dir), day=PICKUP_DAY)
+    rows = fact_fhv(trips, dim_zones(roles.nation_zones(spark, sf_dir)))
+    table = materialize(rows, "fact_trips_refreshed", PICKUP_DAY, location=scratch_dir(spark, "tables"))
+    return table.withColumn(PICKUP_DAY, F.col(PICKUP_DAY).cast("string"))
+
+
 # --- manifest and ingest ---------------------------------------------------------
 
 
@@ -343,6 +364,7 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_parquet": scan,
+    "register_external": external_view,
     "seed_csv": seed_csv,
     "surrogate_key": key,
     "surrogate_key_nulls": key_nulls,
@@ -364,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "fact_trips": fact_trips,
     "fact_passthrough": fact_passthrough,
     "write_day_partitioned": days,
+    "materialize_table": table_refresh,
     "sample_limit": limited,
     "extract_links": links,
     "url_basename": base_names,

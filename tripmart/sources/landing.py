@@ -112,6 +112,10 @@ def _collect_months(files: DataFrame) -> list[Month]:
         else:
             month.parts[row["path"]] = row["columns"]
             month.n_rows += row["n_rows"]
+    for month in months.values():
+        places = sorted({month.whole(path) for path in month.parts})
+        if len(places) > 1:
+            month.fail(f"found more than once: {places}")
     return list(months.values())
 
 
