@@ -6,7 +6,9 @@ inside a character, so bytes and code points agree on where words begin and end.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tripmart.session import configure, scratch_dir
 
+ROOT = str(Path(__file__).resolve().parent.parent)
 SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024**2),
@@ -32,6 +35,10 @@ _powers: list[np.ndarray] = []
 def prepare(spark: SparkSession) -> SparkSession:
     """The library's settings, and small Arrow batches, as one text may be long."""
     configure(spark)
+    # Workers on this machine find the package; on a cluster it is installed or shipped.
+    paths = spark.sparkContext.environment
+    if ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, paths.get("PYTHONPATH")]))
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import binary_ids, packing, token_counts
+from llm import binary_ids, licenses, packing, token_counts, toxicity
 from llm.common import documents
 from tripmart.session import scratch_dir
 
@@ -14,6 +14,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))
+
+
 def op4_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     path = scratch_dir(spark, "id-packs")
@@ -29,6 +34,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), BYTE_VOCABULARY, limit=1024)
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         name: function
