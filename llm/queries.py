@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import binary_ids, licenses, packing, token_counts, toxicity
+from llm import binary_ids, decontamination, licenses, packing, quality, token_counts, toxicity
 from llm.common import documents
 from tripmart.session import scratch_dir
 
@@ -14,6 +14,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir)).select(*quality.DIGEST)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
     return toxicity.score_toxicity(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))
@@ -30,6 +34,11 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), BYTE_VOCABULARY, end_id=0, capacity=2048)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontamination.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return leaks.drop("text_key")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), BYTE_VOCABULARY, limit=1024)
 
