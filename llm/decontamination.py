@@ -17,10 +17,12 @@ items too. Other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import text_key
+from llm.common import stash, text_key
 
 WINDOW, COVERAGE = 8, 0.5
 SHORT = 5
@@ -50,47 +52,48 @@ def marked(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, PUNCTUATION, " "))
 
 
-def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int]) -> DataFrame:
-    """(keys, size, pos, h, slots): every run of `size` template tokens, for each of `lengths`."""
-    blank = "[\\x00-\\x01\\x06-\\x20\\x7f]+"
+BLANK = "[\\x00-\\x01\\x06-\\x20\\x7f]+"
+
+
+def with_tokens(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """keys, _values (tokens, slot values with their mark) and _types (tokens, slots as their mark alone)."""
     rows = df.select(*keys, F.btrim(marked(F.col(text))).alias("_marked"))
     slotted = F.greatest(*[F.instr("_marked", mark) for mark in (NAME, NUMBER, UNIT)]) > 0
     types = F.regexp_replace("_marked", f"([{NAME}-{UNIT}])[^\\x00-\\x01\\x06-\\x20\\x7f]*", "$1")
-    rows = rows.withColumns({"_values": F.split("_marked", blank), "_slotted": slotted})
-    rows = rows.withColumn("_types", F.when(F.col("_slotted"), F.split(types, blank)).otherwise(F.col("_values")))
-    rows = rows.select(
-        *keys, "_values", "_slotted", F.transform("_types", lambda t: F.xxhash64(t)).alias("_hashes"),
-    )
-    hashes, values = F.col("_hashes"), F.col("_values")
-
-    def runs_of(size: int) -> Column:
-        def run(k: Column) -> Column:
-            slots = F.filter(F.slice(values, k + 1, size), lambda v: (v >= NAME) & (v < AFTER))
-            return F.struct(
-                F.lit(size).alias("size"),
-                k.alias("pos"),
-                F.xxhash64(*[F.get(hashes, k + j) for j in range(size)]).alias("h"),
-                F.when(F.col("_slotted"), slots).alias("slots"),
-            )
-
-        last = F.size(hashes) - size
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), run)).otherwise(F.array())
-
-    runs = [runs_of(size) for size in lengths]
-    every = runs[0] if len(runs) == 1 else F.concat(*runs)
-    rows = rows.select(*keys, F.explode(every).alias("_run"))
-    return rows.select(*keys, "_run.size", "_run.pos", "_run.h", "_run.slots")
+    rows = rows.withColumn("_values", F.split("_marked", BLANK))
+    return rows.withColumn("_types", F.when(slotted, F.split(types, BLANK)).otherwise(F.col("_values"))).drop("_marked")
+
+
+def windows(tokens: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
+    """(keys, size, pos, h): every run of `size` template tokens, for each of `sizes`."""
+    rows = tokens.select(*keys, F.transform("_types", lambda t: F.xxhash64(t)).alias("_hashes"))
+
+    def runs(size: int) -> DataFrame:
+        many = F.greatest(F.size("_hashes") - (size - 1), F.lit(0))
+        shifted = [F.slice("_hashes", k + 1, many).alias(f"w{k}") for k in range(size)]
+        zipped = rows.select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "_run"))
+        h = F.xxhash64(*[F.col(f"_run.w{k}") for k in range(size)])
+        return zipped.select(*keys, F.lit(size).alias("size"), "pos", h.alias("h"))
+
+    return reduce(DataFrame.unionAll, [runs(size) for size in sizes])
+
+
+def slots_at(values: Column, pos: Column, size: Column) -> Column:
+    return F.filter(F.slice(values, pos + 1, size), lambda v: (v >= NAME) & (v < AFTER))
 
 
 def item_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     """Windows of each item: of WINDOW tokens, or the whole of a shorter item."""
     rows = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("_item"), text_key(text).alias("item_key"))
     rows = rows.dropDuplicates(["item_id", "item_key"])
-    size = F.size(F.split(F.btrim(marked(F.col("_item"))), "[\\x00-\\x01\\x06-\\x20\\x7f]+"))
-    rows = rows.withColumn("_size", size).where(F.btrim(marked(F.col("_item"))) != "")
-    every = windows(rows, ["item_id", "item_key", "_size"], "_item", list(range(SHORT, WINDOW + 1)))
-    every = every.where(F.col("size") == F.least(F.col("_size"), F.lit(WINDOW)))
-    return every.select("item_id", "item_key", "size", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"))
+    keys = ["item_id", "item_key"]
+    tokens = with_tokens(rows, keys, "_item").where(F.col("_values")[0] != "")
+    every = windows(tokens, keys, list(range(SHORT, WINDOW + 1))).withColumnsRenamed({"pos": "item_pos"})
+    own = tokens.select(F.col("item_id").alias("_id"), F.col("item_key").alias("_key"), "_values")
+    same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item_key") == F.col("_key"))
+    every = every.join(own, same).where(F.col("size") == F.least(F.size("_values"), F.lit(WINDOW)))
+    slots = slots_at(F.col("_values"), F.col("item_pos"), F.col("size"))
+    return every.select("item_id", "item_key", "size", "item_pos", "h", slots.alias("item_slots"))
 
 
 def find_leaks(
@@ -103,25 +106,36 @@ def find_leaks(
     coverage: float = COVERAGE,
 ) -> DataFrame:
     """(doc_id, text_key, item_id, coverage, n_slots, n_changed) of each document and item that match."""
-    items = item_windows(benchmark, item_id, item_text)
-    facts = items.agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes")).first()
-    if not facts["n"]:
-        facts = {"n": 0, "sizes": [WINDOW]}
+    items = stash(item_windows(benchmark, item_id, item_text), "items")
+    slotted = F.size("item_slots") > 0
+    facts = items.agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes"), F.max(slotted).alias("slotted")).first()
     totals = items.groupBy("item_id", "item_key").agg(F.count("*").alias("n_windows"))
     small = facts["n"] <= BROADCAST_WINDOWS
     side = F.broadcast if small else (lambda df: df)
 
+    keys = ["doc_id", "text_key"]
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    rows = rows.withColumn("text_key", text_key("_text"))
-    runs = windows(rows, ["doc_id", "text_key"], "_text", sorted(facts["sizes"]))
-    hits = runs.join(side(items), ["size", "h"])
+    tokens = with_tokens(rows.withColumn("text_key", text_key("_text")), keys, "_text")
+    hits = windows(tokens, keys, sorted(facts["sizes"]) or [WINDOW]).join(side(items), ["size", "h"])
+    if facts["slotted"]:
+        # Slot values of the documents that match, from their texts.
+        hits = stash(hits, "hits")
+        wanted = hits.where(slotted).select(*keys).distinct()
+        same = F.col("w.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("w.text_key") == F.col("t.text_key"))
+        own = tokens.dropDuplicates(keys).alias("t").join(wanted.alias("w"), same, "left_semi")
+        own = own.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_values")
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")) & slotted
+        slots = slots_at(F.col("_values"), F.col("pos"), F.col("size"))
+        hits = hits.join(own, same, "left").withColumn("slots", slots).drop("_id", "_key", "_values")
+    else:
+        hits = hits.withColumn("slots", F.lit(None).cast("array<string>"))
 
     pair = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    along = ["doc_id", "text_key", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")]
+    along = [*keys, "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")]
     # One group holds at most the windows of one item.
     found = hits.groupBy(*along).agg(
         F.countDistinct("item_pos").alias("n_found"),
-        F.array_distinct(F.flatten(F.collect_list(F.when(F.size("item_slots") > 0, pair)))).alias("slots"),
+        F.array_distinct(F.flatten(F.collect_list(F.when(slotted, pair)))).alias("slots"),
     )
     values = F.array_distinct(F.transform("slots", lambda p: p["a"]))
     changed = F.size(F.filter("slots", lambda p: p["a"] != p["b"]))
