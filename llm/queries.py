@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import binary_ids, decontamination, licenses, packing, quality, token_counts, toxicity
+from llm import binary_ids, decontamination, language_model, licenses, packing, quality, token_counts, toxicity
 from llm.common import documents
 from tripmart.session import scratch_dir
 
@@ -39,6 +39,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.drop("text_key")
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), BYTE_VOCABULARY, limit=1024)
 
