@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import binary_ids, decontamination, language_model, licenses, packing, quality, token_counts, toxicity
+from llm import binary_ids, decontamination, jaccard_join, language_model, licenses, packing, quality, token_counts, toxicity
 from llm.common import documents
 from tripmart.session import scratch_dir
 
@@ -23,6 +23,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join.join_similar(documents(spark, sf_dir), shingle=4, threshold=85)
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     path = scratch_dir(spark, "id-packs")
