@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import binary_ids, decontamination, jaccard_join, language_model, licenses, packing, quality, token_counts, toxicity
+from llm import binary_ids, decontamination, jaccard_join, language_model, licenses, packing, quality, suffix_dedup, token_counts, toxicity
 from llm.common import documents
 from tripmart.session import scratch_dir
 
@@ -48,6 +48,11 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(documents(spark, sf_dir))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffix_dedup.remove_passages(documents(spark, sf_dir), length=200)
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), BYTE_VOCABULARY, limit=1024)
 
