@@ -283,8 +283,9 @@ def join_similar(
 
 
 def keep_first(df: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of `df` without those that link with a row of smaller (doc_id, text); empty texts all stay."""
-    rows = join_similar(df, shingle, threshold).where("n_shingles > 0")
+    """The rows of `df` but one of each component, that of the least id; empty texts all stay."""
+    every = stash(join_similar(df, shingle, threshold), "joined")
+    rows = every.where("n_shingles > 0")
     # The first row of each component, without bringing a component's rows together.
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("row"))
     dropped = rows.join(first, "component").where(
@@ -292,4 +293,6 @@ def keep_first(df: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD
     )
     dropped = dropped.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     same = df["doc_id"].eqNullSafe(dropped["_id"]) & (text_key("text") == dropped["_key"])
-    return df.join(dropped, same, "left_anti").dropDuplicates(["doc_id", "text"])
+    kept = df.join(dropped, same, "left_anti")
+    repeated = rows.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import stash
+from llm.common import stash, text_key
 
 WHITE, SYMBOLS = " \t\n\x0b\f\r", "#*$%&|<>"
 ITERATIONS = 12
@@ -37,9 +37,10 @@ def _count(text: Column, characters: str) -> Column:
 
 
 def measure(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and the counts that rules look at, one row per row of `df`."""
+    """doc_id, text_key and the counts that rules look at, one row per row of `df`."""
     raw = F.col("_text")
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = rows.withColumn("text_key", text_key("_text"))
     rows = rows.withColumns({
         "_words": F.split(F.btrim(raw, F.lit(WHITE)), "[\\x20\\x09-\\x0D]+"),
         "_lines": F.filter(F.split(raw, "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != ""),
@@ -52,7 +53,7 @@ def measure(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     words = F.col("_words")
     windows = F.transform(words, lambda w, k: F.xxhash64(w, F.get(words, k + 1), F.get(words, k + 2)))
     rows = rows.select(
-        "doc_id", *[c for c in MEASURES if c in rows.columns],
+        "doc_id", "text_key", *[c for c in MEASURES if c in rows.columns],
         F.when(F.col("word_chars") == 0, 0).otherwise(F.size(words)).cast("long").alias("n_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
@@ -73,7 +74,7 @@ def measure(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     # A window covers three words, or those up to the next repeated window.
     covered = F.transform(at, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - p, F.lit(3))))
     total = F.aggregate(covered, F.lit(0), lambda s, x: s + x)
-    return rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long")).select("doc_id", *MEASURES)
+    return rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long")).select("doc_id", "text_key", *MEASURES)
 
 
 def _vote(good: Column, bad: Column) -> Column:
@@ -161,3 +162,10 @@ def judge(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFram
 
 
 DIGEST = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
+
+
+def keep_good(df: DataFrame) -> DataFrame:
+    """The rows of `df` that are kept."""
+    rejected = judge(df).where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    same = df["doc_id"].eqNullSafe(rejected["_id"]) & (text_key("text") == rejected["_key"])
+    return df.join(rejected, same, "left_anti")

@@ -257,7 +257,8 @@ def repeated_passages(docs: DataFrame, length: int) -> tuple[DataFrame, DataFram
 def remove_passages(
     df: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, text_key, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; kept is binary, null if nothing goes."""
+    """(doc_id, text_key, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; kept is what stays as text
+    (without parts of cut characters), null if nothing goes."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = docs.withColumn("text_key", text_key())
     texts, passages = repeated_passages(docs, length)
@@ -276,15 +277,15 @@ def remove_passages(
                 removed.append(int(gone.sum()))
                 spans.append(len(_runs(gone)))
                 sums.append(hashlib.sha256(left).hexdigest())
-                kept.append(left)
+                kept.append(left.decode("utf-8", "ignore"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), *(pa.array(x) for x in (removed, spans, sums)), pa.array(kept, pa.binary())],
+                [batch.column("doc_id"), batch.column("text_key"), *(pa.array(x) for x in (removed, spans, sums)), pa.array(kept, pa.string())],
                 ["doc_id", "text_key", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
     joined = texts.alias("t").join(marks.alias("m"), _same_row("t", "m")).select("t.doc_id", "t.text_key", "text", "runs")
     cut = joined.mapInArrow(
-        remove, "doc_id long, text_key long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+        remove, "doc_id long, text_key long, n_removed long, n_spans long, kept_sha256 string, kept string"
     )
     binary = F.encode("text", "UTF-8")
     facts = docs.select(
@@ -295,3 +296,15 @@ def remove_passages(
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
         F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "kept",
     )
+
+
+def cut_passages(df: DataFrame, length: int = LENGTH) -> DataFrame:
+    """`df` with its texts cut, and n_chars set anew if there is such a column."""
+    cut = remove_passages(df, length).where("kept is not null").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "kept"
+    ).dropDuplicates(["_id", "_key"])
+    same = df["doc_id"].eqNullSafe(cut["_id"]) & (text_key("text") == cut["_key"])
+    joined = df.join(cut, same, "left").withColumn("text", F.coalesce("kept", "text"))
+    if "n_chars" in df.columns:
+        joined = joined.withColumn("n_chars", F.length("text").cast("long"))
+    return joined.select(*df.columns)
