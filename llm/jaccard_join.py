@@ -12,7 +12,8 @@ one bucket holds the same combination in both. Every linked pair shares a rare t
 A group of nodes with one index entry isn't expanded into pairs. Each node is compared with one leader,
 the node it meets first in most groups. Links found make components; then only nodes of different components
 that share a group are compared, those outside of the group's largest component with
-the others. All comparisons are exact.
+the others. Parity sketches, which never differ in more bits than the sets in tokens, drop pairs that can't
+link; the texts of the other pairs are compared exactly.
 
 Defined results: a null or empty text has an empty set, links with nothing and is its own component;
 less than SHINGLE words make one shingle; repeated rows share a component; with null ids
@@ -206,8 +207,53 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: int) ->
     return stash(joined.mapInArrow(check, "a long, b long"), "links")
 
 
-def similar_sizes(a: str, b: str, threshold: int):
-    return 100 * F.least(a, b) >= threshold * F.greatest(a, b)
+def sketches_of(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, size, sketch), stored. A sketch has a bit for each of 4 size tokens or more: how many fall there, odd or even.
+
+    Two sketches differ in no more bits than the sets in tokens. The number of bits is a power of two, so a
+    longer sketch is folded to the length of a shorter one.
+    """
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, token = shingle_sets(raw(batch.column("text").to_pylist()), shingle)
+            size = np.bincount(row, minlength=batch.num_rows)
+            ends = np.cumsum(size)
+            out = []
+            for begin, end in zip((ends - size).tolist(), ends.tolist(), strict=True):
+                bits = 1 << min(max((4 * (end - begin)).bit_length(), 6), 24)
+                odd = np.bincount((token[begin:end] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+                out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(size), pa.array(out, pa.binary())], ["node", "size", "sketch"])
+
+    return stash(texts.select("node", "text").mapInArrow(sketch, "node long, size long, sketch binary"), "sketches")
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        longer = x if len(x) > len(y) else y
+        half = longer[: len(longer) // 2] ^ longer[len(longer) // 2 :]
+        x, y = (half, y) if longer is x else (x, half)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def possible(pairs: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches don't exclude a link, stored."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb = (batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "size_a", "size_b"))
+            good = [
+                (100 + threshold) * _differing(x, y) <= (100 - threshold) * (n + m) for x, y, n, m in zip(a, b, na, nb, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    for side in ("a", "b"):
+        mine = sketches.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+        pairs = pairs.join(mine, side)
+    close = 100 * F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")
+    return stash(pairs.where(close).mapInArrow(keep, "a long, b long"), "possible")
 
 
 def join_similar(
@@ -227,13 +273,13 @@ def join_similar(
     members = prefixes.select(F.explode("nodes").alias("node"), frequent.alias("frequent"))
     concerned = members.groupBy("node").agg(F.max("frequent").alias("frequent"))
     first = sets.where("n_shingles > 0").groupBy("node").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("row"), F.first("n_shingles").alias("size")
+        F.min(F.struct("doc_id", "text_key")).alias("row")
     )
-    chosen = first.join(concerned, "node").select("node", "size", "frequent", "row.doc_id", "row.text_key")
+    chosen = first.join(concerned, "node").select("node", "frequent", "row.doc_id", "row.text_key")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_key") == F.col("c.text_key"))
-    texts = docs.alias("d").join(chosen.alias("c"), same).select("node", "size", "frequent", "text")
+    texts = docs.alias("d").join(chosen.alias("c"), same).select("node", "frequent", "text")
     texts = stash(texts.dropDuplicates(["node"]), "texts")
-    sizes = texts.select("node", "size")
+    sketches = sketches_of(texts, shingle)
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,15 +295,9 @@ def join_similar(
     leaders = entries.groupBy("entry").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
     groups = stash(entries.join(leaders, "entry").select("entry", "node", "leader"), "groups")
 
-    with_sizes = lambda pairs: (
-        pairs.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("size_a")), "a")
-        .join(sizes.select(F.col("node").alias("b"), F.col("size").alias("size_b")), "b")
-        .where(similar_sizes("size_a", "size_b", threshold))
-        .select("a", "b")
-    )
     met = groups.where("node != leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
     stars = met.groupBy("node").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
-    stars = with_sizes(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    stars = possible(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")), sketches, threshold)
     links = verify(stars, texts, shingle, threshold)
     known = components(links)
 
@@ -272,7 +312,7 @@ def join_similar(
     across = mixed.select("entry", F.col("node").alias("y"), F.col("component").alias("cy"))
     pairs = outside.join(across, "entry").where("cx != cy")
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = verify(with_sizes(pairs), texts, shingle, threshold)
+    more = verify(possible(pairs, sketches, threshold), texts, shingle, threshold)
     final = components(links.union(more))
 
     labelled_docs = sets.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
