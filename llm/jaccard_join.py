@@ -10,9 +10,9 @@ For that the tokens are dealt over more buckets than two linked sets can differ
 one bucket holds the same combination in both. Every linked pair shares a rare token or a combination.
 
 A group of nodes with one index entry isn't expanded into pairs. Each node is compared with one leader,
-the node it meets first in most groups. Links found make components; then only nodes of different components
-that share a group are compared, those outside of the group's largest component with
-the others. Parity sketches, which never differ in more bits than the sets in tokens, drop pairs that can't
+the least node of most of its groups. Links found make components; then only nodes of different components
+are compared, within families of nodes that groups connect, in blocks of BLOCK_NODES: first each with the
+nearest, then, with the components so found, all that differ in component. Parity sketches, which never differ in more bits than the sets in tokens, drop pairs that can't
 link; the texts of the other pairs are compared exactly.
 
 Defined results: a null or empty text has an empty set, links with nothing and is its own component;
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.common import mix, raw, stash, text_key, words_of
@@ -36,6 +36,7 @@ SHINGLE, THRESHOLD = 4, 85
 RARE = 8
 SPARE = 4  # empty buckets that a set may have without indexing them
 CLASS_RATIO = 1.5
+BLOCK_NODES = 2048
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -238,6 +239,58 @@ def _differing(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _across(threshold: int, nearest: bool):
+    """Pairs of one block of a family, or of two, of different components, that sizes and sketches don't exclude.
+
+    With `nearest`, only the pair of each node whose sketches differ least.
+    """
+
+    def compare(table: pa.Table) -> pa.Table:
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        order = np.argsort(table["size"].to_numpy(), kind="stable")
+        size, node = table["size"].to_numpy()[order], table["node"].to_numpy()[order]
+        component, mine = table["component"].to_numpy()[order], table["mine"].to_numpy()[order]
+        column = table["sketch"].to_pylist()
+        sketches = [np.frombuffer(column[k], np.uint8) for k in order.tolist()]
+        length = np.array([len(x) for x in sketches])
+        left, right = [], []
+        best, least = np.full(len(node), -1), np.full(len(node), 1 << 60)
+        # Sketches grow with sizes: a set is compared with those of its own length or more, folded.
+        for bytes_ in np.unique(length).tolist():
+            begin = int(np.searchsorted(length, bytes_))
+            end = int(np.searchsorted(length, bytes_, side="right"))
+            top = int(np.searchsorted(size, size[end - 1] * 100 // threshold, side="right"))
+            folded = []
+            for x in sketches[begin:top]:
+                while len(x) > bytes_:
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                folded.append(x)
+            matrix = np.stack(folded)
+            wide = matrix.view(np.uint64) if bytes_ % 8 == 0 else matrix
+            for x in range(begin, end):
+                last = min(int(np.searchsorted(size, size[x] * 100 // threshold, side="right")), top)
+                y = np.arange(x + 1, last)
+                y = y[(component[y] != component[x]) & ((mine[y] != mine[x]) | (i == j))]
+                if len(y):
+                    differ = np.bitwise_count(wide[y - begin] ^ wide[x - begin]).sum(axis=1, dtype=np.int64)
+                    fits = (100 + threshold) * differ <= (100 - threshold) * (size[x] + size[y])
+                    y, differ = y[fits], differ[fits]
+                    if nearest and len(y):
+                        closer = y[differ < least[y]]
+                        least[closer], best[closer] = differ[differ < least[y]], x
+                        if differ.min() < least[x]:
+                            least[x], best[x] = differ.min(), y[differ.argmin()]
+                        continue
+                    left += [node[x]] * len(y)
+                    right += node[y].tolist()
+        if nearest:
+            found = np.flatnonzero(best >= 0)
+            left, right = node[found], node[best[found]]
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    return compare
+
+
 def possible(pairs: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) whose sizes and sketches don't exclude a link, stored."""
 
@@ -290,30 +343,33 @@ def join_similar(
 
     combined = texts.where("frequent").select("text").mapInArrow(combine, "entry long, node long")
     rare = prefixes.where(~frequent).select(F.col("token").alias("entry"), F.explode("nodes").alias("node"))
-    # Only entries with several nodes matter.
     entries = rare.union(combined)
-    leaders = entries.groupBy("entry").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
-    groups = stash(entries.join(leaders, "entry").select("entry", "node", "leader"), "groups")
+    by_entry = Window.partitionBy("entry")
+    groups = entries.withColumns({"leader": F.min("node").over(by_entry), "last": F.max("node").over(by_entry)})
+    groups = groups.where("leader < last and node != leader")
+    met = stash(groups.groupBy("node", "leader").agg(F.count("*").alias("n")), "met")
 
-    met = groups.where("node != leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
     stars = met.groupBy("node").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
     stars = possible(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")), sketches, threshold)
     links = verify(stars, texts, shingle, threshold)
-    known = components(links)
-
-    labelled = groups.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = labelled.select("entry", "node", "component")
-    parts = labelled.groupBy("entry", "component").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("entry").agg(
-        F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")
-    )
-    mixed = stash(labelled.join(largest.where("parts > 1"), "entry"), "mixed")
-    outside = mixed.where("component != largest").select("entry", F.col("node").alias("x"), F.col("component").alias("cx"))
-    across = mixed.select("entry", F.col("node").alias("y"), F.col("component").alias("cy"))
-    pairs = outside.join(across, "entry").where("cx != cy")
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = verify(possible(pairs, sketches, threshold), texts, shingle, threshold)
-    final = components(links.union(more))
+    # Nodes that share an entry are of one family; families are compared in blocks.
+    families = stash(components(met.select(F.col("leader").alias("a"), F.col("node").alias("b"))), "families")
+    families = families.withColumnRenamed("component", "family")
+    for nearest in (True, False):
+        nodes = families.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        parts = nodes.groupBy("family").agg(
+            F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"),
+            (F.min("component") < F.max("component")).alias("open"),
+        )
+        nodes = nodes.join(parts.where("open"), "family").join(sketches, "node")
+        mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        nodes = nodes.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        nodes = nodes.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
+        nodes = nodes.select("family", "i", "j", "mine", "node", "component", "size", "sketch")
+        pairs = nodes.groupBy("family", "i", "j").applyInArrow(_across(threshold, nearest), "a long, b long")
+        pairs = stash(pairs.distinct(), "across")
+        links = links.union(verify(pairs, texts, shingle, threshold))
+    final = components(links)
 
     labelled_docs = sets.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled_docs.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
