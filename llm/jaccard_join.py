@@ -11,7 +11,7 @@ one bucket holds the same combination in both. Every linked pair shares a rare t
 
 A group of nodes with one index entry isn't expanded into pairs. Each node is compared with one leader,
 the least node of most of its groups. Links found make components; then only nodes of different components
-are compared, within families of nodes that groups connect, in blocks of BLOCK_NODES: first each with the
+are compared, within families of nodes that groups connect, by size class in blocks of BLOCK_NODES: first each with the
 nearest, then, with the components so found, all that differ in component. Parity sketches, which never differ in more bits than the sets in tokens, drop pairs that can't
 link; the texts of the other pairs are compared exactly.
 
@@ -22,6 +22,7 @@ the component is the least id that isn't null, if any; an empty table gives an e
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -250,6 +251,7 @@ def _across(threshold: int, nearest: bool):
         order = np.argsort(table["size"].to_numpy(), kind="stable")
         size, node = table["size"].to_numpy()[order], table["node"].to_numpy()[order]
         component, mine = table["component"].to_numpy()[order], table["mine"].to_numpy()[order]
+        upper = np.array(table["upper"].to_pylist(), dtype=bool)[order]
         column = table["sketch"].to_pylist()
         sketches = [np.frombuffer(column[k], np.uint8) for k in order.tolist()]
         length = np.array([len(x) for x in sketches])
@@ -268,6 +270,8 @@ def _across(threshold: int, nearest: bool):
             matrix = np.stack(folded)
             wide = matrix.view(np.uint64) if bytes_ % 8 == 0 else matrix
             for x in range(begin, end):
+                if upper[x]:  # two of the class above meet there
+                    break
                 last = min(int(np.searchsorted(size, size[x] * 100 // threshold, side="right")), top)
                 y = np.arange(x + 1, last)
                 y = y[(component[y] != component[x]) & ((mine[y] != mine[x]) | (i == j))]
@@ -357,16 +361,21 @@ def join_similar(
     families = families.withColumnRenamed("component", "family")
     for nearest in (True, False):
         nodes = families.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        parts = nodes.groupBy("family").agg(
+        # Similar sizes are of one class or of two next to each other: a class meets the one above.
+        level = F.floor(F.log(F.col("size").cast("double")) / math.log(100.1 / threshold)).cast("int")
+        nodes = nodes.join(sketches.select("node", "size"), "node").withColumn("level", level)
+        nodes = nodes.withColumn("class", F.explode(F.array("level", F.col("level") - 1)))
+        parts = nodes.groupBy("family", "class").agg(
             F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"),
             (F.min("component") < F.max("component")).alias("open"),
         )
-        nodes = nodes.join(parts.where("open"), "family").join(sketches, "node")
+        nodes = nodes.join(parts.where("open"), ["family", "class"])
         mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         nodes = nodes.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         nodes = nodes.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
-        nodes = nodes.select("family", "i", "j", "mine", "node", "component", "size", "sketch")
-        pairs = nodes.groupBy("family", "i", "j").applyInArrow(_across(threshold, nearest), "a long, b long")
+        nodes = nodes.join(sketches.select("node", "sketch"), "node").withColumn("upper", F.col("level") > F.col("class"))
+        nodes = nodes.select("family", "class", "i", "j", "mine", "upper", "node", "component", "size", "sketch")
+        pairs = nodes.groupBy("family", "class", "i", "j").applyInArrow(_across(threshold, nearest), "a long, b long")
         pairs = stash(pairs.distinct(), "across")
         links = links.union(verify(pairs, texts, shingle, threshold))
     final = components(links)
