@@ -162,3 +162,31 @@ def test_split_available_covers_all(spark):
 def test_dates_are_plain(spark):
     grid = month_grid(run_grid(spark, ["green"], [2022]), F.lit(dt.date(2023, 1, 1)))
     assert grid.count() == 12
+
+
+def test_read_days_takes_bounds_with_a_zone(spark, tmp_path):
+    from datetime import datetime, timedelta, timezone
+
+    from tripmart.sources import read_days, write_day_partitioned
+
+    hours = spark.range(72).selectExpr("timestamp '2023-05-01 00:00:00' + make_interval(0, 0, 0, 0, id) AS pickup_datetime")
+    write_day_partitioned(hours, str(tmp_path / "days"))
+    table = spark.read.parquet(str(tmp_path / "days"))
+    east = timezone(timedelta(hours=9))
+    assert read_days(table, datetime(2023, 5, 2, tzinfo=east), datetime(2023, 5, 3, tzinfo=east)).count() == 24
+    assert read_days(table, datetime(2023, 5, 2), datetime(2023, 5, 3)).count() == 24
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            read_days(table, datetime(2023, 5, 2), datetime(2023, 5, 3))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_zone_ids_must_be_integers(spark, tmp_path):
+    from tripmart.sources import read_zones
+
+    path = tmp_path / "zones.csv"
+    path.write_text("locationid,borough,zone,service_zone\n1.5,a,b,c\n2,a,b,c\n")
+    with pytest.raises(Exception, match="isn't an integer"):
+        read_zones(spark, str(path)).collect()

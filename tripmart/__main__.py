@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -55,7 +56,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
             strict=args.raise_if_any_not_found,
             on_error="raise" if args.raise_if_any_rejected else "report",
         )
-        report.orderBy("file_name").show(1000, truncate=False)
+        path = f"{args.dest.rstrip('/')}/reports/ingest-{uuid.uuid4().hex}"
+        report.write.parquet(path)
+        for row in spark.read.parquet(path).groupBy("status").count().orderBy("status").collect():
+            print(f"{row['status']}: {row['count']}")
+        print(f"report: {path}")
     else:
         facts = args.fact or (TAXI_FACT_TABLE, FHV_FACT_TABLE)
         landed = {feed: raw_path(args.landed, feed) for feed in VEHICLE_TYPES}

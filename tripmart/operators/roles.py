@@ -17,13 +17,9 @@ def fits_broadcast(
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> bool:
-    """Measure a small table; stops reading after `max_rows`."""
+    """Count rows and bytes in one aggregation, which sends one row a task."""
     text = F.concat_ws("", *[F.col(f"`{name}`").cast("string") for name in df.columns])
-    size = (
-        df.limit(max_rows + 1)
-        .agg(F.count("*").alias("n"), F.sum(F.octet_length(text) + ROW_OVERHEAD_BYTES).alias("size"))
-        .first()
-    )
+    size = df.agg(F.count("*").alias("n"), F.sum(F.octet_length(text) + ROW_OVERHEAD_BYTES).alias("size")).first()
     return size["n"] <= max_rows and (size["size"] or 0) <= max_bytes
 
 

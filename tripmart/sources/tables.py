@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +24,15 @@ def register_external(spark: SparkSession, locations: Mapping[str, str]) -> None
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    """The zone lookup CSV, its decimal key exposed as the integer that trips carry."""
+    """The zone lookup CSV, its decimal key exposed as the integer that trips carry.
+
+    An id with a fraction is an error: rounded, it would stand for another zone.
+    """
     zones = spark.read.schema(ZONES_CSV).csv(path, header=True, escape='"', mode="FAILFAST")
-    return zones.withColumn("locationid", F.round("locationid").cast("bigint"))
+    whole = F.col("locationid") == F.floor("locationid")
+    problem = F.raise_error(F.concat(F.lit("zone id isn't an integer: "), F.col("locationid").cast("string")))
+    checked = F.when(F.col("locationid").isNull() | whole, F.col("locationid").cast("bigint")).otherwise(problem.cast("bigint"))
+    return zones.withColumn("locationid", checked)
 
 
 def with_day(df: DataFrame, timestamp: str, day: str = PICKUP_DAY) -> DataFrame:
@@ -54,7 +60,12 @@ def read_days(
     """Rows with start <= timestamp < end.
 
     A bound on the timestamp does not prune day partitions, so the same bound is put on the day.
+    Days are of UTC, so plain bounds are taken as UTC and the session must be in UTC; bounds with a
+    zone are converted.
     """
+    if table.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+        raise ValueError("read_days needs a session in UTC; call tripmart.session.configure first")
+    start, end = (b.astimezone(UTC).replace(tzinfo=None) if b.tzinfo else b for b in (start, end))
     dtype = field_type(table, timestamp)
     low, high = (F.lit(bound.isoformat(sep=" ")).cast(dtype) for bound in (start, end))
     return table.where(
