@@ -10,10 +10,11 @@ For that the tokens are dealt over more buckets than two linked sets can differ
 one bucket holds the same combination in both. Every linked pair shares a rare token or a combination.
 
 A group of nodes with one index entry isn't expanded into pairs. Each node is compared with one leader,
-the least node of most of its groups. Links found make components; then only nodes of different components
-are compared, within families of nodes that groups connect, by size class in blocks of BLOCK_NODES: first each with the
-nearest, then, with the components so found, all that differ in component. Parity sketches, which never differ in more bits than the sets in tokens, drop pairs that can't
-link; the texts of the other pairs are compared exactly.
+the least node of most of its groups. Links found make components, and only nodes of different components that
+share a group are compared further; equal groups count once. In groups of at most SMALL nodes those pairs of fitting size are
+listed, less than SMALL for each member. Larger groups are compared in blocks of BLOCK_NODES: first each node with the nearest,
+then, with the components so found, all that differ in component. Parity sketches, which never differ in more bits than the
+sets in tokens, drop pairs that can't link; the texts of the other pairs are compared exactly.
 
 Defined results: a null or empty text has an empty set, links with nothing and is its own component;
 less than SHINGLE words make one shingle; repeated rows share a component; with null ids
@@ -22,7 +23,6 @@ the component is the least id that isn't null, if any; an empty table gives an e
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +37,7 @@ SHINGLE, THRESHOLD = 4, 85
 RARE = 8
 SPARE = 4  # empty buckets that a set may have without indexing them
 CLASS_RATIO = 1.5
+SMALL = 32
 BLOCK_NODES = 2048
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -122,7 +123,7 @@ def combinations(row: np.ndarray, token: np.ndarray, sizes: np.ndarray, threshol
         for k in np.flatnonzero(takes & (buckets - filled > SPARE)).tolist():
             empty = np.setdiff1d(np.arange(buckets[k]), bucket[r == k])
             out_row.append(np.full(len(empty), k))
-            out_key.append(mix(empty.astype(np.uint64) + np.uint64(label[k]) * _B))
+            out_key.append(mix(empty.astype(np.uint64) + label[k : k + 1].astype(np.uint64) * _B))
     return np.concatenate(out_row), np.concatenate(out_key)
 
 
@@ -241,7 +242,7 @@ def _differing(a: bytes, b: bytes) -> int:
 
 
 def _across(threshold: int, nearest: bool):
-    """Pairs of one block of a family, or of two, of different components, that sizes and sketches don't exclude.
+    """Pairs of one block of a group, or of two, of different components, that sizes and sketches don't exclude.
 
     With `nearest`, only the pair of each node whose sketches differ least.
     """
@@ -251,7 +252,6 @@ def _across(threshold: int, nearest: bool):
         order = np.argsort(table["size"].to_numpy(), kind="stable")
         size, node = table["size"].to_numpy()[order], table["node"].to_numpy()[order]
         component, mine = table["component"].to_numpy()[order], table["mine"].to_numpy()[order]
-        upper = np.array(table["upper"].to_pylist(), dtype=bool)[order]
         column = table["sketch"].to_pylist()
         sketches = [np.frombuffer(column[k], np.uint8) for k in order.tolist()]
         length = np.array([len(x) for x in sketches])
@@ -270,8 +270,6 @@ def _across(threshold: int, nearest: bool):
             matrix = np.stack(folded)
             wide = matrix.view(np.uint64) if bytes_ % 8 == 0 else matrix
             for x in range(begin, end):
-                if upper[x]:  # two of the class above meet there
-                    break
                 last = min(int(np.searchsorted(size, size[x] * 100 // threshold, side="right")), top)
                 y = np.arange(x + 1, last)
                 y = y[(component[y] != component[x]) & ((mine[y] != mine[x]) | (i == j))]
@@ -313,6 +311,52 @@ def possible(pairs: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame
     return stash(pairs.where(close).mapInArrow(keep, "a long, b long"), "possible")
 
 
+def groups_of(entries: DataFrame) -> DataFrame:
+    """(group, members, leader, node, entries) of index entries with several nodes; entries with equal nodes are one group."""
+    by_entry = Window.partitionBy("entry")
+    groups = entries.withColumns(
+        {
+            "leader": F.min("node").over(by_entry),
+            "last": F.max("node").over(by_entry),
+            "members": F.count("*").over(by_entry),
+            "content": F.bit_xor(F.xxhash64("node")).over(by_entry),
+        }
+    ).where("leader < last")
+    groups = groups.withColumn("group", F.xxhash64("content", "leader", "last", "members"))
+    return groups.groupBy("group", "members", "leader", "node").agg(F.count("*").alias("entries"))
+
+
+def labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """The members of groups, with the component that the links give each node."""
+    return members.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def listed(members: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of nodes of one small group that differ in component and fit in size."""
+    groups = members.groupBy("group").agg(F.collect_list(F.struct("size", "node", "component")).alias("nodes"))
+    one = groups.where(F.size(F.array_distinct("nodes.component")) > 1).select("nodes", F.explode("nodes").alias("x"))
+
+    def fits(y: F.Column) -> F.Column:
+        after = F.struct(y["size"], y["node"]) > F.struct("x.size", "x.node")
+        return after & (F.col("x.size") * 100 >= y["size"] * threshold) & (y["component"] != F.col("x.component"))
+
+    pairs = one.select(F.col("x.node").alias("p"), F.explode(F.filter("nodes", fits)).alias("y")).select("p", "y.node")
+    return pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
+
+
+def blocks(members: DataFrame, sketches: DataFrame, threshold: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of nodes of one large group that differ in component and may link, compared block by block."""
+    mixed = members.groupBy("group").agg((F.min("component") < F.max("component")).alias("mixed"))
+    nodes = members.join(mixed.where("mixed"), "group").withColumn("count", F.ceil(F.col("members") / BLOCK_NODES).cast("int"))
+    mine = F.pmod(F.xxhash64("node"), F.col("count")).cast("int")
+    nodes = nodes.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+    nodes = nodes.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
+    nodes = nodes.join(sketches.select("node", "sketch"), "node")
+    nodes = nodes.select("group", "i", "j", "mine", "node", "component", "size", "sketch")
+    pairs = nodes.groupBy("group", "i", "j").applyInArrow(_across(threshold, nearest), "a long, b long")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def join_similar(
     df: DataFrame,
     shingle: int = SHINGLE,
@@ -347,37 +391,21 @@ def join_similar(
 
     combined = texts.where("frequent").select("text").mapInArrow(combine, "entry long, node long")
     rare = prefixes.where(~frequent).select(F.col("token").alias("entry"), F.explode("nodes").alias("node"))
-    entries = rare.union(combined)
-    by_entry = Window.partitionBy("entry")
-    groups = entries.withColumns({"leader": F.min("node").over(by_entry), "last": F.max("node").over(by_entry)})
-    groups = groups.where("leader < last and node != leader")
-    met = stash(groups.groupBy("node", "leader").agg(F.count("*").alias("n")), "met")
+    members = stash(groups_of(rare.union(combined)), "groups")
 
+    met = members.where("node != leader").groupBy("node", "leader").agg(F.sum("entries").alias("n"))
     stars = met.groupBy("node").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
     stars = possible(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")), sketches, threshold)
     links = verify(stars, texts, shingle, threshold)
-    # Nodes that share an entry are of one family; families are compared in blocks.
-    families = stash(components(met.select(F.col("leader").alias("a"), F.col("node").alias("b"))), "families")
-    families = families.withColumnRenamed("component", "family")
-    for nearest in (True, False):
-        nodes = families.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # Similar sizes are of one class or of two next to each other: a class meets the one above.
-        level = F.floor(F.log(F.col("size").cast("double")) / math.log(100.1 / threshold)).cast("int")
-        nodes = nodes.join(sketches.select("node", "size"), "node").withColumn("level", level)
-        nodes = nodes.withColumn("class", F.explode(F.array("level", F.col("level") - 1)))
-        parts = nodes.groupBy("family", "class").agg(
-            F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"),
-            (F.min("component") < F.max("component")).alias("open"),
-        )
-        nodes = nodes.join(parts.where("open"), ["family", "class"])
-        mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        nodes = nodes.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        nodes = nodes.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
-        nodes = nodes.join(sketches.select("node", "sketch"), "node").withColumn("upper", F.col("level") > F.col("class"))
-        nodes = nodes.select("family", "class", "i", "j", "mine", "upper", "node", "component", "size", "sketch")
-        pairs = nodes.groupBy("family", "class", "i", "j").applyInArrow(_across(threshold, nearest), "a long, b long")
-        pairs = stash(pairs.distinct(), "across")
-        links = links.union(verify(pairs, texts, shingle, threshold))
+    members = members.join(sketches.select("node", "size"), "node").select("group", "members", "node", "size")
+    large = members.where(F.col("members") > SMALL)
+    pairs = stash(blocks(labelled(large, links), sketches, threshold, nearest=True), "nearest")
+    links = links.union(verify(pairs, texts, shingle, threshold))
+    now = stash(labelled(members, links), "labelled")
+    few = possible(listed(now.where(F.col("members") <= SMALL), threshold), sketches, threshold)
+    rest = blocks(now.where(F.col("members") > SMALL), sketches, threshold, nearest=False)
+    pairs = stash(few.union(rest).distinct(), "across")
+    links = links.union(verify(pairs, texts, shingle, threshold))
     final = components(links)
 
     labelled_docs = sets.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
