@@ -8,6 +8,7 @@ import pytest
 from tripmart.functions import to_integer
 from tripmart.registry import Feed
 from tripmart.sources import IngestError, ingest, read_raw
+from tripmart.sources.footers import uri_mapper
 from tripmart.sources.landing import raw_path
 
 RAW = "VendorID STRING, pickup TIMESTAMP_NTZ, zone BIGINT, fare DOUBLE"
@@ -192,6 +193,48 @@ def test_bad_pages_reject_their_file_alone(spark, tmp_path, feed, column):
     assert (len(rows), {row[-1] for row in rows}) == (5000, {1})
 
 
+def test_a_mixed_month_with_a_bad_page_keeps_the_old_rows(spark, tmp_path):
+    put(tmp_path / "in", long_months(5000), "fhv", 1, "part-0")
+    put(tmp_path / "in", long_months(5000, zone=pa.array([float(i) for i in range(5000)])), "fhv", 1, "part-1")
+    assert run(spark, tmp_path / "in", tmp_path / "out", "fhv")[1]["status"] == "landed"
+    path = tmp_path / "in" / "fhv_tripdata_2023-01.parquet" / "part-1.parquet"
+    chunk = pq.ParquetFile(path).metadata.row_group(0).column(3)
+    data = bytearray(path.read_bytes())
+    start = chunk.dictionary_page_offset or chunk.data_page_offset
+    data[start : start + chunk.total_compressed_size] = b"\xab" * chunk.total_compressed_size
+    path.write_bytes(data)
+    assert run(spark, tmp_path / "in", tmp_path / "out", "fhv")[1]["status"] == "failed"
+    root = raw_path(str(tmp_path / "out"), "fhv")
+    assert read_raw(spark, root, lambda df: df.select("fare")).count() == 10_000
+
+
+def test_odd_columns_fail_their_file_alone(spark, tmp_path):
+    odd = [{"year": [1]}, {"a": pa.array([1], pa.time32("s"))}, {"a": pa.array([None], pa.float16())}]
+    for month, columns in enumerate(odd, start=1):
+        put(tmp_path / "in", pa.table(columns), "fhv", month)
+    put(tmp_path / "in", pa.table([[1], [2]], ["a", "A"]), "fhv", 4)
+    put(tmp_path / "in", pa.table({"a": [1]}), "fhv", 5)
+    status = {m: r["status"] for m, r in run(spark, tmp_path / "in", tmp_path / "out", "fhv").items()}
+    assert (status[1], status[4], status[5]) == ("failed", "failed", "landed")
+
+
+@pytest.mark.parametrize(
+    ("path", "uri"),
+    [
+        ("file:/a b/c", "/a b/c"),
+        ("file:///a/c", "/a/c"),
+        ("/a/c", "/a/c"),
+        ("s3a://bucket/c", "s3://bucket/c"),
+        ("wasbs://box@name.blob.core.windows.net/c", "abfss://box@name.dfs.core.windows.net/c"),
+        ("dbfs:/a/c", "/dbfs/a/c"),
+        ("hdfs://host:8020/c", "hdfs://host:8020/c"),
+        ("gs://bucket/c", "gs://bucket/c"),
+    ],
+)
+def test_paths_as_arrow_names_them(path, uri):
+    assert uri_mapper()(path) == uri
+
+
 def test_a_file_in_two_places_is_ambiguous(spark, tmp_path):
     put(tmp_path / "in" / "a", months(), month=1)
     put(tmp_path / "in" / "b", months(), month=1)

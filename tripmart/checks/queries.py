@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -259,8 +260,10 @@ def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table as a day-partitioned table, clustered while rows are narrow."""
     trips = stage_fhv(roles.fhv_raw(spark, sf_dir), day=PICKUP_DAY)
     rows = fact_fhv(trips, dim_zones(roles.nation_zones(spark, sf_dir)))
-    table = materialize(rows, "fact_trips_refreshed", PICKUP_DAY, location=scratch_dir(spark, "tables"))
-    return table.withColumn(PICKUP_DAY, F.col(PICKUP_DAY).cast("string"))
+    location, name = scratch_dir(spark, "tables"), f"fact_trips_refreshed_{uuid.uuid4().hex}"
+    materialize(rows, name, PICKUP_DAY, location=location)
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry; the files stay
+    return spark.read.parquet(f"{location}/{name}").withColumn(PICKUP_DAY, F.col(PICKUP_DAY).cast("string"))
 
 
 # --- manifest and ingest ---------------------------------------------------------

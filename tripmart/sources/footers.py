@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 # {vehicle_type}_tripdata_{year}-{month}.parquet, a file or a folder of part files.
 FILE_PATTERN = r"([^/]+)_tripdata_([0-9]{4})-([0-9]{2})\.parquet(?:/[^/]*)?$"
+# A path to its Arrow file system and its name there; it must travel to tasks.
+Opener = Callable[[str], tuple]
 FOOTER = "columns string, n_rows bigint, error string"
 
 
@@ -43,13 +46,34 @@ def month_of_file() -> tuple[Column, Column]:
     return tail.substr(1, 4).cast("int"), tail.substr(6, 2).cast("int")
 
 
-def read_footers(files: DataFrame) -> DataFrame:
+def uri_mapper() -> Callable[[str], str]:
+    """A function from paths as Hadoop names them to paths as Arrow does; local ones come without scheme."""
+
+    # Nested, so that it travels by value.
+    def arrow_uri(path):
+        scheme, colon, rest = path.partition(":")
+        if not colon or "/" in scheme or scheme == "file":
+            return "/" + (rest if scheme == "file" else path).lstrip("/")
+        if scheme == "dbfs":  # seen by tasks as a mounted folder
+            return "/dbfs/" + rest.lstrip("/")
+        if scheme in ("wasb", "wasbs"):
+            scheme, rest = scheme.replace("wasb", "abfs"), rest.replace(".blob.", ".dfs.", 1)
+        return f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}"
+
+    return arrow_uri
+
+
+def read_footers(files: DataFrame, opener: Opener | None = None) -> DataFrame:
     """Add column names with types, and row count, of each `path`; unreadable files keep the error.
 
+    Storage that can't be opened is an error of the run. `opener` replaces Arrow's own choice of file system.
+
     The paths are spread by count: adaptive execution would see a few kilobytes of
     text and put all of them into one task.
     """
 
+    arrow_uri = uri_mapper()
+
     # Nested, so that it travels by value and executors need not have this package.
     def footers(batches):
         import json
@@ -58,12 +82,13 @@ def read_footers(files: DataFrame) -> DataFrame:
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
-        def footer_of(path):
-            local = path.removeprefix("file:")
-            if local != path or "://" not in path:
-                fs, name = pafs.LocalFileSystem(), "/" + local.lstrip("/")
-            else:
-                fs, name = pafs.FileSystem.from_uri(path)
+        def store_of(path):
+            if opener is not None:
+                return opener(path)
+            uri = arrow_uri(path)
+            return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
+
+        def footer_of(fs, name):
             with fs.open_input_file(name) as handle:
                 footer = pq.ParquetFile(handle)
                 stored = [footer.schema.column(i) for i in range(len(footer.schema))]
@@ -78,8 +103,9 @@ def read_footers(files: DataFrame) -> DataFrame:
         for batch in batches:
             found = []
             for path in batch.column("path").to_pylist():
+                fs, name = store_of(path)
                 try:
-                    found.append(footer_of(path))
+                    found.append(footer_of(fs, name))
                 except Exception as problem:  # the outcome of this file, not of the run
                     found.append((None, None, f"{type(problem).__name__}: {problem}"))
             columns, n_rows, error = zip(*found) if found else ((), (), ())

@@ -16,7 +16,7 @@ from datetime import date
 from functools import reduce
 from typing import NamedTuple, TypeVar
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +25,7 @@ from tripmart.operators.manifest import month_grid, run_grid, split_available
 from tripmart.registry import DEFAULT_VEHICLE_TYPES, FEEDS, Feed, feed_of
 from tripmart.session import configure
 from tripmart.sources.enforce import NANOS, enforce_schema
-from tripmart.sources.footers import list_files, list_parquet, month_of_file, read_footers, same_path
+from tripmart.sources.footers import Opener, list_files, list_parquet, month_of_file, read_footers, same_path
 
 REPORT = (
     "vehicle_type string, year int, month int, file_name string, "
@@ -101,9 +101,9 @@ def _by_columns(months: Iterable[Month]) -> dict[str, list[str]]:
     return {columns: sorted(set(paths)) for columns, paths in groups.items()}
 
 
-def _collect_months(files: DataFrame) -> list[Month]:
+def _collect_months(files: DataFrame, opener: Opener | None = None) -> list[Month]:
     months: dict[str, Month] = {}
-    for row in read_footers(files).collect():
+    for row in read_footers(files, opener).collect():
         month = months.setdefault(
             row["file_name"], Month(row["vehicle_type"], row["year"], row["month"], row["file_name"])
         )
@@ -234,11 +234,36 @@ def _land_enforced(spark: SparkSession, feed: Feed, months: list[Month], path: s
     _isolating(_good(months), write)
 
 
+def _unresolved(spark: SparkSession, columns: str, paths: Sequence[str]) -> str | None:
+    """Why files with these columns can't be landed as they are; their data are not read."""
+    clash = [name for name, _ in json.loads(columns) if name.lower() in ("year", "month")]
+    if clash:
+        return f"columns named as the partitions: {clash}"
+    try:
+        _with_month(spark.read.parquet(paths[0]), ["*"])
+    except PySparkException as problem:
+        return f"Spark can't read these columns: {str(problem).splitlines()[0]}"
+    return None
+
+
 def _land_as_is(spark: SparkSession, months: list[Month], path: str) -> None:
     """One write per set of columns; a month spread over several is replaced, then appended to."""
     for month in _good(months):
         if any(kind.startswith(NANOS) for columns in month.parts.values() for _, kind in json.loads(columns)):
             month.fail("nanosecond times cannot be kept unchanged")
+    for columns, paths in _by_columns(_good(months)).items():
+        problem = _unresolved(spark, columns, paths)
+        for month in months:
+            if problem and columns in month.parts.values():
+                month.fail(problem)
+
+    def check(good: list[Month]) -> None:
+        # A month of several column sets is written in several steps, so all its pages are read first.
+        mixed = [month for month in good if len(set(month.parts.values())) > 1]
+        for paths in _by_columns(mixed).values():
+            spark.read.parquet(*paths).write.format("noop").mode("overwrite").save()
+
+    _isolating(_good(months), check)
 
     def write(good: list[Month]) -> None:
         written: set[str] = set()
@@ -286,6 +311,7 @@ def ingest(
     strict_names: bool = True,
     as_of: date | None = None,
     feeds: Mapping[str, Feed] = FEEDS,
+    opener: Opener | None = None,
 ) -> DataFrame:
     """Land the wanted months from `source` below `dest`/raw, return one outcome per file.
 
@@ -293,7 +319,8 @@ def ingest(
     restricts the run to published links, else every listed file counts. A wanted file that
     does not exist raises if `strict` and is reported otherwise. A file whose names,
     types or values do not fit its feed is rejected alone; `on_error="raise"` raises
-    once the others are landed. Running again replaces the same months.
+    once the others are landed. Running again replaces the same months. `opener` gives the Arrow file system
+    and the name of a path, for storage whose credentials Arrow does not find itself.
     """
     vehicle_types = list(DEFAULT_VEHICLE_TYPES if vehicle_types is None else vehicle_types)
     _check_arguments(vehicle_types, years, month, on_error, feeds)
@@ -317,7 +344,7 @@ def ingest(
 
     chosen, _ = split_available(files, valid, "file_name")
     with _nanos_readable(spark):
-        months = _collect_months(chosen)
+        months = _collect_months(chosen, opener)
         for name in vehicle_types:
             of_feed = [m for m in months if m.vehicle_type == name]
             path = raw_path(dest, name)
