@@ -38,6 +38,7 @@ RARE = 8
 SPARE = 4  # empty buckets that a set may have without indexing them
 CLASS_RATIO = 1.5
 SMALL = 32
+BRIEF = 16
 BLOCK_NODES = 2048
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -127,28 +128,14 @@ def combinations(row: np.ndarray, token: np.ndarray, sizes: np.ndarray, threshol
     return np.concatenate(out_row), np.concatenate(out_key)
 
 
-def sets_table(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, text_key, node, n_shingles), stored."""
+def sets_table(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """(doc_id, text_key, node, n_shingles, prefix, crowded, sketch), stored; texts are cut into shingles once for all of these.
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node, size = nodes_of(*shingle_sets(raw(batch.column("text").to_pylist()), shingle), batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(node), pa.array(size)],
-                ["doc_id", "text_key", "node", "n_shingles"],
-            )
-
-    return stash(docs.mapInArrow(measure, "doc_id long, text_key long, node long, n_shingles long"), "sets")
-
-
-def prefix_groups(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """(token, flag, nodes): nodes that hold a prefix token, for tokens with several, stored.
-
-    A task reports at most RARE + 1 nodes of a token, as more make it frequent; it flags the
-    other nodes of such a token itself (flag, with the node as token).
+    A task gives prefix tokens and sketch (see `sketch_of`) where it first meets a node. It reports at most
+    RARE + 1 nodes of a token, as more make it frequent; other nodes that hold the token are crowded.
     """
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, int] = {}
         known = np.zeros(0, np.int64)
         seen: set[int] = set()
@@ -162,31 +149,60 @@ def prefix_groups(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
                 seen.add(value)
             if len(seen) > 2_000_000:
                 seen.clear()
-            begin = np.cumsum(size) - size
-            place = np.arange(len(row)) - begin[row]
+            fresh &= size > 0
+            end = np.cumsum(size)
+            place = np.arange(len(row)) - (end - size)[row]
             kept = (place <= missing_allowed(size, threshold)[row]) & fresh[row]
-            tokens, owners = token[kept].view(np.int64), node[row[kept]]
+            tokens, owners = token[kept].view(np.int64), row[kept]
             # Tokens met before in this task, or twice in this batch, are counted.
             _, back, times = np.unique(tokens, return_inverse=True, return_counts=True)
             again = np.flatnonzero((times[back] > 1) | np.isin(tokens, known))
-            flags = np.zeros(len(tokens), np.int32)
+            over = np.zeros(len(tokens), dtype=bool)
             for k in again.tolist():
                 value = int(tokens[k])
                 counts[value] = counts.get(value, 0) + 1
-                flags[k] = counts[value] > RARE + 1
+                over[k] = counts[value] > RARE + 1
             if len(again):
                 known = np.fromiter(counts, np.int64, len(counts))
+            crowded = np.bincount(owners[over], minlength=n) > 0
+            ends = np.cumsum(np.append(0, np.bincount(owners[~over], minlength=n)))
+            prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens[~over]))
+            sketches = [
+                sketch_of(token[e - m : e]) if first else None
+                for e, m, first in zip(end.tolist(), size.tolist(), fresh.tolist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(flags, owners, tokens)), pa.array(flags), pa.array(owners)], ["token", "flag", "node"]
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(node), pa.array(size), prefix]
+                + [pa.array(crowded), pa.array(sketches, pa.binary())],
+                ["doc_id", "text_key", "node", "n_shingles", "prefix", "crowded", "sketch"],
             )
 
-    rows = docs.select("text").mapInArrow(index, "token long, flag int, node long")
-    groups = rows.groupBy("token", "flag").agg(F.collect_set("node").alias("nodes"))
-    return stash(groups.where((F.size("nodes") > 1) | (F.col("flag") == 1)), "prefixes")
+    columns = "doc_id long, text_key long, node long, n_shingles long, prefix array<long>, crowded boolean, sketch binary"
+    return stash(docs.mapInArrow(measure, columns), "sets")
+
+
+def shared_tokens(entries: DataFrame) -> DataFrame:
+    """(token, node, frequent) of tokens that several nodes hold, each node once; all in one shuffle by token."""
+    by_token = Window.partitionBy("token")
+    bounds = entries.withColumns({"least": F.min("node").over(by_token), "last": F.max("node").over(by_token)})
+    # Tasks may have reported the same node.
+    once = bounds.where("least < last").select("token", "node").distinct()
+    return once.withColumn("frequent", F.count("*").over(by_token) > RARE)
+
+
+def sketch_of(token: np.ndarray) -> bytes:
+    """A bit for each of 4 size tokens or more: how many of the set's tokens fall there, odd or even.
+
+    Two sketches differ in no more bits than the sets in tokens. The number of bits is a power of two, so a
+    longer sketch is folded to the length of a shorter one.
+    """
+    bits = 1 << min(max((4 * len(token)).bit_length(), 6), 24)
+    odd = np.bincount((token & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) that link, stored; their texts are joined to both sides."""
+    """The pairs (a, b) that link, stored; the texts of their nodes alone are joined to both sides."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,32 +220,33 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: int) ->
             good = pa.array(100 * shared >= threshold * (na + nb - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(good)
 
+    concerned = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    texts = texts.join(concerned, "node", "left_semi")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "text_a", "text_b")
     return stash(joined.mapInArrow(check, "a long, b long"), "links")
 
 
-def sketches_of(texts: DataFrame, shingle: int) -> DataFrame:
-    """(node, size, sketch), stored. A sketch has a bit for each of 4 size tokens or more: how many fall there, odd or even.
-
-    Two sketches differ in no more bits than the sets in tokens. The number of bits is a power of two, so a
-    longer sketch is folded to the length of a shorter one.
-    """
+def sketches_of(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, size, sketch, brief) of these nodes, stored; `brief` is the sketch folded to BRIEF words of 64 bits at most."""
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, token = shingle_sets(raw(batch.column("text").to_pylist()), shingle)
-            size = np.bincount(row, minlength=batch.num_rows)
-            ends = np.cumsum(size)
-            out = []
-            for begin, end in zip((ends - size).tolist(), ends.tolist(), strict=True):
-                bits = 1 << min(max((4 * (end - begin)).bit_length(), 6), 24)
-                odd = np.bincount((token[begin:end] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-                out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(size), pa.array(out, pa.binary())], ["node", "size", "sketch"])
+            briefs = []
+            for sketch in batch.column("sketch").to_pylist():
+                x = np.frombuffer(sketch, np.uint8)
+                while len(x) > 8 * BRIEF:
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                briefs.append(x.view("<i8"))
+            columns = [batch.column(c) for c in ("node", "size", "sketch")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(briefs, pa.list_(pa.int64()))], ["node", "size", "sketch", "brief"]
+            )
 
-    return stash(texts.select("node", "text").mapInArrow(sketch, "node long, size long, sketch binary"), "sketches")
+    met = sets.where(F.col("sketch").isNotNull()).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    rows = met.select("node", F.col("n_shingles").alias("size"), "sketch")
+    return stash(rows.mapInArrow(fold, "node long, size long, sketch binary, brief array<long>"), "sketches")
 
 
 def _differing(a: bytes, b: bytes) -> int:
@@ -326,19 +343,31 @@ def groups_of(entries: DataFrame) -> DataFrame:
     return groups.groupBy("group", "members", "leader", "node").agg(F.count("*").alias("entries"))
 
 
-def labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """The members of groups, with the component that the links give each node."""
-    return members.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+def labelled(members: DataFrame, known: DataFrame) -> DataFrame:
+    """The members of groups, with the component known of each node."""
+    return members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
 
+def _as_links(known: DataFrame) -> DataFrame:
+    """Links that make the same components."""
+    return known.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
-def listed(members: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of nodes of one small group that differ in component and fit in size."""
-    groups = members.groupBy("group").agg(F.collect_list(F.struct("size", "node", "component")).alias("nodes"))
-    one = groups.where(F.size(F.array_distinct("nodes.component")) > 1).select("nodes", F.explode("nodes").alias("x"))
+
+def listed(members: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of nodes of one small group that differ in component and that sizes and brief sketches don't exclude."""
+    mixed = members.groupBy("group").agg((F.min("component") < F.max("component")).alias("mixed"))
+    nodes = members.join(mixed.where("mixed"), "group").join(sketches.select("node", "brief"), "node")
+    groups = nodes.groupBy("group").agg(F.collect_list(F.struct("size", "node", "component", "brief")).alias("nodes"))
+    one = groups.select("nodes", F.explode("nodes").alias("x"))
 
     def fits(y: F.Column) -> F.Column:
         after = F.struct(y["size"], y["node"]) > F.struct("x.size", "x.node")
-        return after & (F.col("x.size") * 100 >= y["size"] * threshold) & (y["component"] != F.col("x.component"))
+        near = F.col("x.size") * 100 >= y["size"] * threshold
+        # Briefs of two lengths aren't compared here.
+        bits = F.zip_with(y["brief"], "x.brief", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+        differ = F.coalesce(F.aggregate(bits, F.lit(0), lambda n, b: n + b), F.lit(0))
+        close = (100 + threshold) * differ <= (100 - threshold) * (y["size"] + F.col("x.size"))
+        return after & (y["component"] != F.col("x.component")) & near & close
 
     pairs = one.select(F.col("x.node").alias("p"), F.explode(F.filter("nodes", fits)).alias("y")).select("p", "y.node")
     return pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
@@ -367,11 +396,9 @@ def join_similar(
     """(doc_id, text_key, n_shingles, component_id, node) of every row; linked are rows that share a component."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     docs = docs.withColumn("text_key", text_key())
-    sets = sets_table(docs, shingle)
-    prefixes = prefix_groups(docs, shingle, threshold)
-
-    frequent = (F.size("nodes") > RARE) | (F.col("flag") == 1)
-    members = prefixes.select(F.explode("nodes").alias("node"), frequent.alias("frequent"))
+    sets = sets_table(docs, shingle, threshold)
+    prefixes = stash(shared_tokens(sets.select(F.explode("prefix").alias("token"), "node")), "prefixes")
+    members = prefixes.select("node", "frequent").union(sets.where("crowded").select("node", F.lit(True)))
     concerned = members.groupBy("node").agg(F.max("frequent").alias("frequent"))
     first = sets.where("n_shingles > 0").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_key")).alias("row")
@@ -380,7 +407,7 @@ def join_similar(
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_key") == F.col("c.text_key"))
     texts = docs.alias("d").join(chosen.alias("c"), same).select("node", "frequent", "text")
     texts = stash(texts.dropDuplicates(["node"]), "texts")
-    sketches = sketches_of(texts, shingle)
+    sketches = sketches_of(sets, texts.select("node"))
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -390,23 +417,22 @@ def join_similar(
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node[row])], ["entry", "node"])
 
     combined = texts.where("frequent").select("text").mapInArrow(combine, "entry long, node long")
-    rare = prefixes.where(~frequent).select(F.col("token").alias("entry"), F.explode("nodes").alias("node"))
+    rare = prefixes.where("not frequent").select(F.col("token").alias("entry"), "node")
     members = stash(groups_of(rare.union(combined)), "groups")
 
     met = members.where("node != leader").groupBy("node", "leader").agg(F.sum("entries").alias("n"))
     stars = met.groupBy("node").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
     stars = possible(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")), sketches, threshold)
-    links = verify(stars, texts, shingle, threshold)
+    known = components(verify(stars, texts, shingle, threshold))
     members = members.join(sketches.select("node", "size"), "node").select("group", "members", "node", "size")
     large = members.where(F.col("members") > SMALL)
-    pairs = stash(blocks(labelled(large, links), sketches, threshold, nearest=True), "nearest")
-    links = links.union(verify(pairs, texts, shingle, threshold))
-    now = stash(labelled(members, links), "labelled")
-    few = possible(listed(now.where(F.col("members") <= SMALL), threshold), sketches, threshold)
+    pairs = stash(blocks(labelled(large, known), sketches, threshold, nearest=True), "nearest")
+    known = components(_as_links(known).union(verify(pairs, texts, shingle, threshold)))
+    now = stash(labelled(members, known), "labelled")
+    few = possible(listed(now.where(F.col("members") <= SMALL), sketches, threshold), sketches, threshold)
     rest = blocks(now.where(F.col("members") > SMALL), sketches, threshold, nearest=False)
     pairs = stash(few.union(rest).distinct(), "across")
-    links = links.union(verify(pairs, texts, shingle, threshold))
-    final = components(links)
+    final = components(_as_links(known).union(verify(pairs, texts, shingle, threshold)))
 
     labelled_docs = sets.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled_docs.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
