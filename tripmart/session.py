@@ -26,6 +26,7 @@ MIN_SPLIT_BYTES, MAX_SPLIT_BYTES, MAX_SPLITS = 128 * MIB, 1024 * MIB, 100_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply SETTINGS to the caller's session, where they stay: the frames returned are evaluated later."""
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
