@@ -3,9 +3,11 @@
 In DataFrame operations only. A text becomes template tokens: numbers, names (a
 capital inside a sentence) and units stand as typed placeholders, other words in
 lower case without punctuation. Hashes of WINDOW tokens in a row are joined with those
-of the benchmark. A document and an item match along one alignment when COVERAGE of
-the item's windows are there and the slots agree: whatever stands for one value of
-the item is the same value throughout.
+of the benchmark. Along one alignment the slots must agree: whatever stands for one value
+of the item is the same value throughout. A document and an item match when the windows found
+along all alignments whose slots agree hold COVERAGE of the item's tokens, or when RUN tokens in
+a row stand along one of them, whatever their share. A slot counts as changed when its
+value stands in none of those alignments.
 
 The benchmark side is broadcast only while it has at most BROADCAST_WINDOWS windows.
 Defined results: null or empty texts and items match nothing; items of less than
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from llm.common import stash, text_key
 
 WINDOW, COVERAGE = 8, 0.5
-SHORT = 5
+SHORT, RUN = 5, 13
 BROADCAST_WINDOWS = 500_000
 NAME, NUMBER, UNIT, AFTER = "\x02", "\x03", "\x04", "\x05"
 # Units of measure and money.
@@ -82,6 +84,11 @@ def slots_at(values: Column, pos: Column, size: Column) -> Column:
     return F.filter(F.slice(values, pos + 1, size), lambda v: (v >= NAME) & (v < AFTER))
 
 
+def longer_run(at: Column, n: int) -> Column:
+    """Whether sorted distinct positions hold `n` in a row."""
+    return F.exists(F.transform(at, lambda p, k: F.coalesce(F.get(at, k + (n - 1)) - p == n - 1, F.lit(False))), lambda x: x)
+
+
 def item_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     """Windows of each item: of WINDOW tokens, or the whole of a shorter item."""
     rows = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("_item"), text_key(text).alias("item_key"))
@@ -109,7 +116,9 @@ def find_leaks(
     items = stash(item_windows(benchmark, item_id, item_text), "items")
     slotted = F.size("item_slots") > 0
     facts = items.agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes"), F.max(slotted).alias("slotted")).first()
-    totals = items.groupBy("item_id", "item_key").agg(F.count("*").alias("n_windows"))
+    totals = items.groupBy("item_id", "item_key").agg(
+        F.max(F.col("item_pos") + F.col("size")).alias("n_tokens"), F.max("size").alias("size")
+    )
     small = facts["n"] <= BROADCAST_WINDOWS
     side = F.broadcast if small else (lambda df: df)
 
@@ -134,20 +143,34 @@ def find_leaks(
     along = [*keys, "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")]
     # One group holds at most the windows of one item.
     found = hits.groupBy(*along).agg(
-        F.countDistinct("item_pos").alias("n_found"),
+        F.array_sort(F.collect_set("item_pos")).alias("at"),
         F.array_distinct(F.flatten(F.collect_list(F.when(slotted, pair)))).alias("slots"),
     )
     values = F.array_distinct(F.transform("slots", lambda p: p["a"]))
-    changed = F.size(F.filter("slots", lambda p: p["a"] != p["b"]))
-    whole = F.col("n_found") / F.col("n_windows")
-    joined = found.join(side(totals.withColumnRenamed("item_id", "_id")), [
-        F.col("_id").eqNullSafe(F.col("item_id")), totals["item_key"] == found["item_key"]
+    agreed = found.where(F.size("slots") == F.size(values)).withColumns({
+        "values": values,
+        "kept": F.transform(F.filter("slots", lambda p: p["a"] == p["b"]), lambda p: p["a"]),
+        "run": longer_run(F.col("at"), RUN - WINDOW + 1),
+    })
+    together = lambda name: F.array_distinct(F.flatten(F.collect_set(name)))
+    united = agreed.groupBy(*along[:-1]).agg(
+        F.array_sort(together("at")).alias("at"),
+        F.size(together("values")).alias("n_slots"),
+        F.size(together("kept")).alias("n_kept"),
+        F.max("run").alias("run"),
+    )
+    joined = united.join(side(totals.withColumnRenamed("item_id", "_id")), [
+        F.col("_id").eqNullSafe(F.col("item_id")), totals["item_key"] == united["item_key"]
     ])
-    matched = joined.where((whole >= coverage) & (F.size("slots") == F.size(values)))
+    at, size = F.col("at"), F.col("size")
+    # A window covers its tokens up to the next window found.
+    covered = F.transform(at, lambda p, k: F.least(size, F.coalesce(F.get(at, k + 1) - p, size)))
+    whole = F.aggregate(covered, F.lit(0), lambda s, x: s + x) / F.col("n_tokens")
+    matched = joined.withColumn("_whole", whole).where((F.col("_whole") >= coverage) | F.col("run"))
     return matched.groupBy("doc_id", "text_key", "item_id").agg(
-        F.max(whole).alias("coverage"),
-        F.max_by(F.size("slots"), whole).cast("long").alias("n_slots"),
-        F.max_by(changed, whole).cast("long").alias("n_changed"),
+        F.max("_whole").alias("coverage"),
+        F.max_by("n_slots", "_whole").cast("long").alias("n_slots"),
+        F.max_by(F.col("n_slots") - F.col("n_kept"), "_whole").cast("long").alias("n_changed"),
     )
 
 

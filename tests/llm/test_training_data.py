@@ -210,6 +210,25 @@ def test_reworded_questions(spark, none):
     assert decontamination.find_leaks(none, items).count() == 0
 
 
+def test_interrupted_and_quoted_questions(spark):
+    say = lambda name, n: [f"{name}{k}q" for k in range(n)]
+    long, middle, short = say("a", 59), say("b", 38), say("c", 18)
+    texts = {
+        1: [*long[:30], "inserted", *long[30:]],
+        2: [*middle[:19], "inserted", *middle[19:]],
+        3: ["so", *long[20:50], "he", "said"],  # half of the tokens, no insertion
+        4: [*short[:9], "changed", *short[10:]],
+        5: [*say("d", 9), *long[40:53], *say("e", 9)],  # thirteen in a row
+        6: [*say("d", 9), *long[40:52], *say("e", 9)],
+        7: [*short[:8], *say("f", 20)],
+    }
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    items = [(k, " ".join(t)) for k, t in enumerate((long, middle, short))]
+    found = decontamination.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): round(r.coverage, 6) for r in found.collect()}
+    assert got == {(1, 0): 1, (2, 1): 1, (3, 0): round(30 / 59, 6), (4, 2): round(17 / 18, 6), (5, 0): round(13 / 59, 6)}
+
+
 def test_language_model(docs, none):
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
     counts = collections.Counter()
