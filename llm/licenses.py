@@ -1,10 +1,13 @@
-"""License notices in texts, by an exact set-similarity join of lines with templates.
+"""License notices in texts, by an exact set-similarity join of lines and word windows with templates.
 
 A line matches a template when it holds at least THRESHOLD of the template's distinct
 words. Template words are ordered by their frequency over all texts, rare ones first.
 A line that matches must hold one of the first |T| - need + 1 of them (prefix filter), have
 `need` words (length filter), and hold enough words from its first match on (positional filter);
-what passes is verified by counting. Base phrases are found at consecutive words.
+what passes is verified by counting. As notices are wrapped, the same holds for windows of
+consecutive words across line breaks, as long as the template's words over THRESHOLD: a window that
+matches begins with a template word and holds `need` of them, repeated or not, which is
+looked at before distinct ones are counted. Base phrases are found at consecutive words.
 
 Words are lower-cased runs of digits, a-z and characters beyond ASCII. Defined results: a
 null or empty text has no word, no label, score 0; repeated rows are scanned each; an
@@ -93,7 +96,9 @@ class Templates:
 
     def __init__(self, templates: list[tuple[str, str]], threshold: float):
         self.labels = [label for label, _ in templates]
-        self.sets = [set(word_hashes(text)) for _, text in templates]
+        spelled = [word_hashes(text) for _, text in templates]
+        self.sets = [set(words) for words in spelled]
+        self.width = [math.ceil(len(words) / threshold - 1e-9) for words in spelled]
         self.need = [math.ceil(threshold * len(s) - 1e-9) for s in self.sets]
         self.vocabulary = np.array(sorted(set().union(*self.sets)), dtype=np.uint64)
         self.order(np.zeros(len(self.vocabulary)))
@@ -137,6 +142,30 @@ class Templates:
             begins, counts = begins[possible], counts[possible]
             good = counts >= need
             yield k, lines[own_block[begins[good]]] >> 32, counts[good] / len(tokens)
+        ranks, rows = self.rank[place], words.row[index]
+        for k, tokens in enumerate(self.tokens):
+            yield (k, *self.match_windows(k, tokens, index, ranks, rows))
+
+    def match_windows(
+        self, k: int, tokens: np.ndarray, index: np.ndarray, ranks: np.ndarray, rows: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(row, containment) of every window of template `k`'s width that matches it, wherever lines end."""
+        need, width = self.need[k], self.width[k]
+        in_template = np.zeros(len(self.rank), dtype=bool)
+        in_template[tokens] = True
+        mine = np.flatnonzero(in_template[ranks])
+        index, ranks, rows = index[mine], ranks[mine], rows[mine]
+        begins = np.arange(max(len(index) - need + 1, 0))
+        last = begins + need - 1
+        begins = begins[(index[last] < index[begins] + width) & (rows[last] == rows[begins])]
+        seen = np.zeros((len(begins), len(tokens)), dtype=bool)
+        for step in range(width):
+            at = np.minimum(begins + step, len(index) - 1)
+            inside = (begins + step < len(index)) & (index[at] < index[begins] + width) & (rows[at] == rows[begins])
+            seen[np.flatnonzero(inside), np.searchsorted(tokens, ranks[at[inside]])] = True
+        counts = seen.sum(axis=1)
+        good = (counts >= need) & seen[:, : len(tokens) - need + 1].any(axis=1)
+        return rows[begins[good]], counts[good] / len(tokens)
 
 
 def template_frequencies(df: DataFrame, templates: Templates, text: str) -> np.ndarray:

@@ -294,6 +294,16 @@ def test_licenses(docs, none):
     assert licenses.scan_licenses(none).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    mit = "Permission is hereby granted, free of charge,\nto any person obtaining a copy of this software"
+    gpl = " * you can redistribute it and/or modify\n * it under the terms of the GNU General Public\n * License"
+    far = mit.replace("charge,", "charge, " + "other " * 9)
+    texts = [f"a b\n{mit} and\nmore", f"some text\n{gpl}", far, "permission is hereby\n" * 9, mit[:40]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(docs).collect()}
+    assert got == {0: ("notice-mit", 1), 1: ("gpl,notice-gpl", 1), 2: ("", 0), 3: ("", 0), 4: ("", 0)}
+
+
 def test_pipeline_keeps_columns(spark):
     import corpus_pipeline
 
