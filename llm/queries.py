@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import binary_ids, decontamination, jaccard_join, language_model, licenses, packing, quality, suffix_dedup, token_counts, toxicity
+from llm import alignment, binary_ids, bpe, decontamination, jaccard_join, language_model, licenses, packing, quality
+from llm import suffix_dedup, token_counts, toxicity, whitening
 from llm.common import documents
 from tripmart.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
-BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_VOCABULARY, WORD_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,19 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(documents(spark, sf_dir, "embeddings"), components=32)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_and_score(documents(spark, sf_dir), BYTE_VOCABULARY, PIECE_VOCABULARY)
+
+
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode_texts(documents(spark, sf_dir), BYTE_VOCABULARY)
+    return bpe.digest(bpe.decode_ids(encoded, BYTE_VOCABULARY))
+
+
 def queries() -> dict[str, Query]:
     return {
         name: function
