@@ -23,7 +23,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +30,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.bpe import list_array, merge_encoder, ragged
-from llm.common import stash
+from llm.bpe import CACHE_IDS, CACHE_WORDS, WordCache, list_array, merge_encoder, ragged
+from llm.common import Prefix, stash
 from llm.tokens import tokenizer_path
 
 SLICE_BYTES = 1 << 18
-CACHE_WORDS = 500_000
-CACHED_CHARS = 64
 TABLE_PAIRS = 1_000_000
+UNSPELLED = -1
 SPACE = "▁"
 
+_word_gap = regex.compile(b"[^ ](?= )")
+
 
 @dataclass
 class Csr:
@@ -108,25 +108,67 @@ class WordPieces:
         self.token_bytes = [
             bytes([int(p[3:5], 16)]) if self.model.is_byte(k) else p.replace(SPACE, " ").encode() for k, p in enumerate(pieces)
         ]
-        self.find = regex.compile(" +[^ ]*").findall
-        self.cache: dict[str, list[int]] = {" ": [self.model.piece_to_id(SPACE)]}
-
-    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; texts begin with a space, which stands for the one that the model adds."""
-        out = []
-        for text in texts:
-            words = self.find(text)
-            new = {w for w in words if w not in self.cache}
-            if new:
-                order = list(new)
-                self.cache |= zip(order, self.model.encode([w[1:] for w in order], num_threads=1), strict=True)
-            out.append(np.fromiter(chain.from_iterable(map(self.cache.__getitem__, words)), dtype=np.int32))
-            for word in new:
-                if len(word) > CACHED_CHARS:
-                    del self.cache[word]
-            if len(self.cache) > CACHE_WORDS:
-                self.cache = {" ": self.cache[" "]}
-        return out
+        self.space = [self.model.piece_to_id(SPACE)]
+        self.cache = WordCache()
+
+    def learn(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words, which begin with a space; UNSPELLED for words that their pieces don't spell."""
+        found = self.model.encode([w[1:].decode() for w in words], num_threads=1)
+        found = [self.space if w == b" " else ids for w, ids in zip(words, found, strict=True)]
+        spelled = (b"".join(map(self.token_bytes.__getitem__, ids)) == w for w, ids in zip(words, found, strict=True))
+        return [ids if same else [UNSPELLED] for ids, same in zip(found, spelled, strict=True)]
+
+    def encode_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all parts in turn, number of ids of each part); parts begin with a space."""
+        data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        ends = np.cumsum([len(p) for p in parts])
+        fresh = data == 32
+        fresh[1:] &= data[:-1] != 32
+        fresh[ends[:-1]] = True
+        start = np.flatnonzero(fresh)
+        end = np.append(start[1:], len(data))
+        keys, first, back = np.unique(Prefix(data).of(start, end), return_index=True, return_inverse=True)
+        at, there = self.cache.find(keys)
+        if not there.all():
+            buffer, new = data.tobytes(), np.flatnonzero(~there)
+            found = self.learn([buffer[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+            self.cache.add(keys[new], found)
+            at, _ = self.cache.find(keys)
+        size = self.cache.size[at][back]
+        ids = self.cache.pool[ragged(self.cache.start[at][back], size)]
+        if len(self.cache.keys) > CACHE_WORDS or len(self.cache.pool) > CACHE_IDS:
+            self.cache = WordCache()
+        part = np.searchsorted(ends, start, side="right")
+        return ids, np.bincount(part, size, len(parts)).astype(np.int64)
+
+    def encode_many(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text; a text is empty or begins with a space, which stands for the one that the model adds."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        rows: list[int] = []
+        parts: list[bytes] = []
+        size = 0
+        for row, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                found = _word_gap.search(text, at + SLICE_BYTES)
+                stop = found.start() + 1 if found else len(text)
+                rows.append(row)
+                parts.append(text[at:stop])
+                size, at = size + stop - at, stop
+                if size > SLICE_BYTES:
+                    self._collect(rows, parts, out)
+                    size = 0
+        if parts:
+            self._collect(rows, parts, out)
+        none = np.zeros(0, dtype=np.int32)
+        return [x[0] if len(x) == 1 else np.concatenate([none, *x]) for x in out]
+
+    def _collect(self, rows: list[int], parts: list[bytes], out: list[list[np.ndarray]]) -> None:
+        ids, sizes = self.encode_parts(parts)
+        for row, some in zip(rows, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+            out[row].append(some)
+        rows.clear()
+        parts.clear()
 
 
 class Aligner:
@@ -141,19 +183,22 @@ class Aligner:
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids by both; none for texts that either doesn't spell."""
         full = [" " + t if t else "" for t in texts]
-        a, b = self.a.encode_many(full), self.b.encode_many(full)
+        a, b = self.a.encode_many(full), self.b.encode_many([t.encode() for t in full])
         none = np.zeros(0, dtype=np.int32)
-        for k, text in enumerate(full):
-            data = text.encode()
-            if self.a.join(a[k]) != data or b"".join(map(self.b.token_bytes.__getitem__, b[k].tolist())) != data:
+        for k, ids in enumerate(b):
+            # The first vocabulary holds all bytes and merges what stands together, so it spells every text.
+            if len(ids) and ids.min() == UNSPELLED:
                 a[k], b[k] = none, none
         return a, b
 
     def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(end of each group in bytes, group of each token of a, of b)."""
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        ends = np.intersect1d(end_a, end_b, assume_unique=True)
-        return ends, np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
+        ends_here = np.zeros(int(end_b[-1]) + 1 if len(b) else 1, dtype=np.int8)
+        ends_here[end_a] += 1
+        ends_here[end_b] += 1
+        last_a, last_b = ends_here[end_a] == 2, ends_here[end_b] == 2
+        return end_a[last_a], np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
 
     def runs(self, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         """Groups in runs of about SLICE_BYTES: (first, one past the last)."""
@@ -163,17 +208,17 @@ class Aligner:
             yield at, stop
             at, before = stop, int(ends[stop - 1])
 
-    def matrices(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, Csr, Csr, np.ndarray, np.ndarray]]:
+    def matrices(self, a: np.ndarray, b: np.ndarray, groups: tuple) -> Iterator[tuple[int, int, Csr, Csr, np.ndarray, np.ndarray]]:
         """For each run of groups: first token of either, the byte incidences, and the group of each token."""
-        ends, group_a, group_b = self.groups(a, b)
+        ends, group_a, group_b = groups
         for first, stop in self.runs(ends):
             (a0, a1), (b0, b1) = np.searchsorted(group_a, [first, stop]), np.searchsorted(group_b, [first, stop])
             yield a0, b0, spans(self.len_a[a[a0:a1]]), covers(self.len_b[b[b0:b1]]), group_a[a0:a1] - first, group_b[b0:b1] - first
 
-    def links(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def links(self, a: np.ndarray, b: np.ndarray, groups: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(token of a, token of b, bytes shared) of every pair of overlapping tokens."""
         found = [(np.zeros(0, np.int64),) * 3]
-        for a0, b0, left, right, _, _ in self.matrices(a, b):
+        for a0, b0, left, right, _, _ in self.matrices(a, b, groups or self.groups(a, b)):
             shared = product(left, right)
             found.append((a0 + shared.row_of_entries(), b0 + shared.column, shared.value))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -187,7 +232,7 @@ class Aligner:
 
     def group_links(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(token of a, token of b) of pairs that share a group, for each run of groups."""
-        for a0, b0, _, _, group_a, group_b in self.matrices(a, b):
+        for a0, b0, _, _, group_a, group_b in self.matrices(a, b, self.groups(a, b)):
             shared = product(*self.group_matrices(group_a, group_b))
             yield a0 + shared.row_of_entries(), b0 + shared.column
 
@@ -200,9 +245,9 @@ class Aligner:
         a, b = (np.concatenate([np.zeros(0, np.int32), *x]) for x in (a_parts, b_parts))
         rows = np.arange(len(texts))
         row_a, row_b = (np.repeat(rows, [len(p) for p in x]) for x in (a_parts, b_parts))
-        ends, group_a, group_b = self.groups(a, b)
+        ends, group_a, group_b = groups = self.groups(a, b)
         row_of_group = row_a[np.searchsorted(group_a, np.arange(len(ends)))]
-        at_a, at_b, _ = self.links(a, b)
+        at_a, at_b, _ = self.links(a, b, groups)
         owner, key = row_a[at_a], a[at_a].astype(np.int64) * self.n_b + b[at_b]
         n_links = np.bincount(owner, minlength=len(texts))
         in_groups = product_size(*self.group_matrices(group_a, group_b))
