@@ -192,7 +192,7 @@ def test_build_whole_warehouse(spark, tmp_path, limit):
         assert taxi.drop("pickup_date").exceptAll(want).count() == want.exceptAll(taxi.drop("pickup_date")).count() == 0
         assert taxi.count() == want.count() > 0
         assert spark.table("dim_zones").count() == 25
-    assert list(Path(tmp_path / "tables").glob("fact_taxi_trips/pickup_date=*"))
+    assert list(Path(tmp_path / "tables").glob("fact_taxi_trips/version-*/pickup_date=*"))
     for table in ("fact_taxi_trips", "fact_fhv_trips", "dim_zones"):
         spark.sql(f"DROP TABLE {table}")
 

@@ -29,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
     land.add_argument("--base-url", help="what a published link begins with; needed with --pages")
     land.add_argument("--raise-if-any-not-found", action="store_true")
     land.add_argument("--raise-if-any-rejected", action="store_true")
+    land.add_argument("--only-new", action="store_true", help="leave files alone that have landed as they are")
 
     make = commands.add_parser("build", help="staging views and fact tables from landed files")
     make.add_argument("--landed", required=True, help="the --dest of ingest")
@@ -36,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
     make.add_argument("--location", help="folder for the tables")
     make.add_argument("--fact", nargs="+", choices=(TAXI_FACT_TABLE, FHV_FACT_TABLE))
     make.add_argument("--sample-limit", type=int, help="rows per staging view, for trial runs")
+    make.add_argument("--sample-share", type=float, help="share of the trip keys, for trial runs")
     return top
 
 
@@ -55,6 +57,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
             published=published,
             strict=args.raise_if_any_not_found,
             on_error="raise" if args.raise_if_any_rejected else "report",
+            only_new=args.only_new,
         )
         path = f"{args.dest.rstrip('/')}/reports/ingest-{uuid.uuid4().hex}"
         report.write.parquet(path)
@@ -64,7 +67,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     else:
         facts = args.fact or (TAXI_FACT_TABLE, FHV_FACT_TABLE)
         landed = {feed: raw_path(args.landed, feed) for feed in VEHICLE_TYPES}
-        build(spark, landed, args.zones, facts, args.sample_limit, args.location)
+        build(spark, landed, args.zones, facts, args.sample_limit, args.location, args.sample_share)
 
 
 if __name__ == "__main__":

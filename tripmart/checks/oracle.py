@@ -201,4 +201,46 @@ ORACLE: dict[str, str] = {
         UNION ALL {report_month(2, "N", "failed", f"count(*) FILTER ({HALF_LOSSY})")}
         UNION ALL {report_month(3, "R", "failed", "0")}
         UNION ALL SELECT 'green_tripdata_2023-04.parquet', 'missing', NULL, 0""",
+    "ingest_rerun": """
+        WITH months AS (
+            SELECT CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS INT) AS month, count(*) AS n_rows
+            FROM lineitem GROUP BY 1
+        )
+        SELECT month, format('green_tripdata_2023-{:02d}.parquet', month) AS file_name,
+            CASE month WHEN 1 THEN 'unchanged' ELSE 'landed' END AS status, n_rows,
+            'landed' AS ledger_status, n_rows AS ledger_rows, n_rows AS landed_rows
+        FROM months""",
+    "ingest_local": """
+        SELECT CAST(l_suppkey AS VARCHAR) AS VendorID, CAST(l_quantity AS BIGINT) AS passenger_count,
+            l_extendedprice AS fare_amount, CAST(CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS INT) AS month
+        FROM lineitem""",
+    "refresh_days": f"SELECT *, substr(pickup_datetime, 1, 10) AS pickup_date FROM ({fact(STG_C)})",
+    "sample_build": f"""
+        SELECT * FROM ({STG_A}) JOIN (
+            SELECT DISTINCT {surrogate("VendorID", "lpep_pickup_datetime")} AS tripid FROM ({GREEN_RAW})
+            WHERE substr({surrogate("VendorID", "lpep_pickup_datetime", "")}, 1, 4) < '199a'
+        ) USING (tripid)""",
+    "read_days": f"""
+        SELECT event_id, {time_text("ts")} AS pickup_datetime, event_type FROM events
+        WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-20 18:30:00'""",
+    "manifest_marked": """
+        SELECT nullif(l_orderkey, 7) AS orderkey, l_linenumber, l_partkey, coalesce(nullif(l_orderkey, 7) IN (
+            SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'), false) AS available
+        FROM lineitem""",
+    "manifest_grid": """
+        WITH newest AS (SELECT max(o_orderdate) - INTERVAL 2 MONTH AS last FROM orders),
+        feeds AS (SELECT DISTINCT o_orderstatus AS vehicle_type FROM orders),
+        years AS (SELECT DISTINCT year(o_orderdate) AS year FROM orders),
+        asked AS (
+            SELECT 'years' AS asked, vehicle_type, year, unnest(generate_series(1, 12)) AS month FROM feeds, years
+            UNION ALL SELECT 'month', vehicle_type, year, 3 FROM feeds, years
+            UNION ALL SELECT 'newest', vehicle_type, year(last), month(last) FROM feeds, newest
+        )
+        SELECT a.asked, a.vehicle_type, CAST(a.year AS INT) AS year, CAST(a.month AS INT) AS month,
+            format('{}_tripdata_{}-{:02d}.parquet', a.vehicle_type, a.year, a.month) AS file_name, n_orders
+        FROM asked a JOIN newest ON a.asked <> 'years' OR a.year < year(last)
+            OR a.year = year(last) AND a.month <= month(last)
+        LEFT JOIN (SELECT o_orderstatus AS vehicle_type, year(o_orderdate) AS year, month(o_orderdate) AS month,
+            count(*) AS n_orders FROM orders GROUP BY ALL) p
+        ON a.vehicle_type = p.vehicle_type AND a.year = p.year AND a.month = p.month""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,25 +30,40 @@ from tripmart.operators import (
     dedup_first,
     extract_links,
     join_roles,
+    mark_available,
     month_grid,
+    run_grid,
     sample,
     split_available,
     tag_union,
 )
-from tripmart.plans import dim_zones, fact_fhv, fact_taxi, stage_fhv, stage_green, stage_yellow
+from tripmart.plans import (
+    build,
+    dim_zones,
+    fact_fhv,
+    fact_taxi,
+    pickup_days,
+    refresh_days,
+    stage_fhv,
+    stage_green,
+    stage_yellow,
+)
 from tripmart.plans.staging import YELLOW_CONSTANTS
-from tripmart.registry import PAYMENT_TYPES, PICKUP_DAY, UNKNOWN_BOROUGH
+from tripmart.registry import FHV_FACT_TABLE, PAYMENT_TYPES, PICKUP_DAY, UNKNOWN_BOROUGH, ZONE_TABLE
 from tripmart.session import configure, scratch_dir
 from tripmart.sources import (
     ingest,
     materialize,
+    read_days,
+    read_ledger,
     read_raw,
     read_zones,
     register_external,
     scan_parquet,
     write_day_partitioned,
 )
-from tripmart.sources.landing import raw_path
+from tripmart.sources.commit import raw_path
+from tripmart.sources.versions import table_facts
 
 Query = Callable[[SparkSession, str], DataFrame]
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -261,9 +276,47 @@ def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = stage_fhv(roles.fhv_raw(spark, sf_dir), day=PICKUP_DAY)
     rows = fact_fhv(trips, dim_zones(roles.nation_zones(spark, sf_dir)))
     location, name = scratch_dir(spark, "tables"), f"fact_trips_refreshed_{uuid.uuid4().hex}"
-    materialize(rows, name, PICKUP_DAY, location=location)
+    for part in (rows.limit(10), rows):  # the second refresh replaces the first
+        materialize(part, name, PICKUP_DAY, location=location)
+    place = table_facts(spark, name)["location"]
     spark.sql(f"DROP TABLE {name}")  # the catalog's entry; the files stay
-    return spark.read.parquet(f"{location}/{name}").withColumn(PICKUP_DAY, F.col(PICKUP_DAY).cast("string"))
+    return spark.read.parquet(place).withColumn(PICKUP_DAY, F.col(PICKUP_DAY).cast("string"))
+
+
+def day_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact table built from two months, one of which is then published again beside a third: only their days are rebuilt."""
+    root = scratch_dir(spark, "warehouse")
+    trips, zones_csv = roles.fhv_raw(spark, sf_dir), f"{root}/zones"
+    roles.nation_zones(spark, sf_dir).write.option("header", True).csv(zones_csv)
+    step = F.pmod(F.datediff("pickup_datetime", F.lit("2024-01-01")), F.lit(3))
+    _write_source(trips.where(step == 0), f"{root}/in", "fhv", 1)
+    _write_source(trips.where((step == 1) & (F.hour("pickup_datetime") < 12)), f"{root}/in", "fhv", 2)
+    land = {"strict": False, "on_error": "raise", "only_new": True}
+    ingest(spark, f"{root}/in", f"{root}/lake", ["fhv"], [2023], **land)
+    raw = {"fhv": raw_path(f"{root}/lake", "fhv")}
+    build(spark, raw, zones_csv, [FHV_FACT_TABLE], location=f"{root}/tables")
+    _write_source(trips.where(step == 1), f"{root}/in", "fhv", 2, "overwrite")
+    _write_source(trips.where(step == 2), f"{root}/in", "fhv", 3)
+    report = ingest(spark, f"{root}/in", f"{root}/lake", ["fhv"], [2023], **land).where("status = 'landed'")
+    months = [(r["vehicle_type"], r["year"], r["month"]) for r in report.collect()]
+    refresh_days(spark, raw, FHV_FACT_TABLE, pickup_days(spark, raw, months))
+    place = table_facts(spark, FHV_FACT_TABLE)["location"]
+    for name in (FHV_FACT_TABLE, ZONE_TABLE):
+        spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(place).withColumn(PICKUP_DAY, F.col(PICKUP_DAY).cast("string"))
+
+
+def sample_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trial build: a tenth of the trip keys, whole, chosen below the deduplication by the model's own argument."""
+    return stage_green(roles.green_raw(spark, sf_dir), sample_share=0.1)
+
+
+def day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "days")
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", "pickup_datetime")
+    write_day_partitioned(events, path)
+    wanted = read_days(spark.read.parquet(path), datetime(2024, 1, 5, 6), datetime(2024, 1, 20, 18, 30))
+    return wanted.select("event_id", "pickup_datetime", "event_type")
 
 
 # --- manifest and ingest ---------------------------------------------------------
@@ -301,6 +354,30 @@ def manifest_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _membership(spark, sf_dir)[1]
 
 
+def manifest_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves of the membership split by one join."""
+    wanted = table(spark, sf_dir, "lineitem").select(F.nullif("l_orderkey", F.lit(7)).alias("orderkey"), "l_linenumber", "l_partkey")
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    return mark_available(wanted, orders.select(F.col("o_orderkey").alias("orderkey")), "orderkey")
+
+
+def manifest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files asked for by statuses as feeds and years: whole years, one month of each year, and the newest month."""
+    orders = table(spark, sf_dir, "orders")
+    feeds = sorted(r[0] for r in orders.select("o_orderstatus").distinct().collect())
+    years = sorted(r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect())
+    as_of = F.lit(orders.agg(F.max("o_orderdate")).first()[0])
+    asked = {
+        "years": month_grid(run_grid(spark, feeds, years), as_of),
+        "month": month_grid(run_grid(spark, feeds, years), as_of, month=3),
+        "newest": month_grid(run_grid(spark, feeds), as_of),
+    }
+    placed = orders.groupBy(
+        F.col("o_orderstatus").alias("vehicle_type"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
+    ).agg(F.count("*").alias("n_orders"))
+    return tag_union(asked, "asked").join(placed, ["vehicle_type", "year", "month"], "left")
+
+
 def safe_cast_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = F.col("l_quantity") / 2
     return (
@@ -313,8 +390,8 @@ def safe_cast_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _write_source(df: DataFrame, root: str, feed: str, month: int) -> None:
-    df.write.parquet(f"{root}/{feed}_tripdata_2023-{month:02d}.parquet")
+def _write_source(df: DataFrame, root: str, feed: str, month: int, mode: str = "error") -> None:
+    df.write.mode(mode).parquet(f"{root}/{feed}_tripdata_2023-{month:02d}.parquet")
 
 
 def ingest_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,6 +442,38 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("file_name", "status", "n_rows", "n_bad")
 
 
+def ingest_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger and the report of a second run say: one month as before, one published again, one new."""
+    source, dest = scratch_dir(spark, "source"), scratch_dir(spark, "dest")
+    trips = roles.green_raw(spark, sf_dir)
+    flag = F.col("store_and_fwd_flag")
+    _write_source(trips.where(flag == "A"), source, "green", 1)
+    _write_source(trips.where((flag == "N") & (F.col("payment_type") > 2)), source, "green", 2)
+    land = {"strict": False, "on_error": "raise", "as_of": date(2024, 6, 15), "only_new": True}
+    ingest(spark, source, dest, ["green"], [2023], **land)
+    _write_source(trips.where(flag == "N"), source, "green", 2, "overwrite")
+    _write_source(trips.where(flag == "R"), source, "green", 3)
+    second = ingest(spark, source, dest, ["green"], [2023], **land).where("status <> 'missing'")
+    stored = read_ledger(spark, dest).select("file_name", F.col("status").alias("ledger_status"), F.col("n_rows").alias("ledger_rows"))
+    landed = spark.read.parquet(raw_path(dest, "green")).groupBy("month").agg(F.count("*").alias("landed_rows"))
+    return second.select("file_name", "month", "status", "n_rows").join(stored, "file_name").join(landed, "month")
+
+
+def ingest_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a feed with a schema, landed as they are; the reader brings their types together."""
+    source, dest = scratch_dir(spark, "source"), scratch_dir(spark, "dest")
+    trips = roles.green_raw(spark, sf_dir, "l_linestatus").select("VendorID", "passenger_count", "fare_amount", "l_linestatus")
+    for month, status, kind in ((1, "F", "double"), (2, "O", "bigint")):
+        part = trips.where(F.col("l_linestatus") == status).withColumn("passenger_count", F.col("passenger_count").cast(kind))
+        _write_source(part.drop("l_linestatus"), source, "green", month)
+    ingest(spark, source, dest, ["green"], [2023], strict=False, on_error="raise", enforce=False)
+
+    def same_types(df: DataFrame) -> DataFrame:
+        return df.select("VendorID", to_integer(df, "passenger_count").alias("passenger_count"), "fare_amount", "month")
+
+    return read_raw(spark, raw_path(dest, "green"), same_types)
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": scan,
     "register_external": external_view,
@@ -404,6 +513,13 @@ QUERIES: dict[str, Query] = {
     "ingest_enforced": ingest_enforced,
     "ingest_passthrough": ingest_passthrough,
     "ingest_report": ingest_report,
+    "ingest_rerun": ingest_rerun,
+    "ingest_local": ingest_local,
+    "refresh_days": day_refresh,
+    "sample_build": sample_share,
+    "read_days": day_range,
+    "manifest_marked": manifest_marked,
+    "manifest_grid": manifest_grid,
 }
 
 

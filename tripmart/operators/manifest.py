@@ -42,6 +42,16 @@ def month_grid(runs: DataFrame, as_of: Column, month: int | None = None) -> Data
     )
 
 
+def mark_available(wanted: DataFrame, available: DataFrame, key: str, mark: str = "available") -> DataFrame:
+    """All `wanted` rows with a column that says whether their key is available.
+
+    One join gives both halves, so what is wanted is shuffled once however often the halves
+    are read within a job. A null key is never available.
+    """
+    keys = available.select(key).where(F.col(key).isNotNull()).distinct().withColumn(mark, F.lit(True))
+    return wanted.join(keys, key, "left").withColumn(mark, F.coalesce(mark, F.lit(False)))
+
+
 def split_available(wanted: DataFrame, available: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """`wanted` rows whose key is available, and those whose key is not.
 

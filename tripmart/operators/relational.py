@@ -9,6 +9,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.functions.keys import surrogate_key
+
 ROW_NUMBER = "__row_num"
 
 
@@ -41,6 +43,20 @@ def conform_constants(df: DataFrame, constants: Mapping[str, tuple[Any, str]]) -
     return df.withColumns({name: F.lit(value).cast(dtype) for name, (value, dtype) in constants.items()})
 
 
+def sample_groups(df: DataFrame, keys: Sequence[str], share: float | None) -> DataFrame:
+    """All rows of about `share` of the keys, chosen by a hash of the key; None keeps all.
+
+    Unlike a limit it commutes with whatever works per key, so it can stand below a
+    deduplication, whose shuffle then carries that share of the rows only.
+    """
+    if share is None or share == 1:
+        return df
+    if not 0 < share < 1:
+        raise ValueError("share must be above 0 and at most 1")
+    digits = F.substring(surrogate_key(df, *keys), 1, 4)
+    return df.where(digits < F.lit(format(round(share * 16**4), "04x")))
+
+
 def sample(df: DataFrame, rows: int | None) -> DataFrame:
     """At most `rows` arbitrary rows; None keeps all."""
     return df if rows is None else df.limit(rows)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import code_label, surrogate_key, to_integer, to_numeric, to_timestamp
-from tripmart.operators import conform_constants, dedup_first, sample
+from tripmart.operators import conform_constants, dedup_first, sample, sample_groups
 from tripmart.registry import KEY_ZONE_SUFFIX, NUMERIC, PAYMENT_TYPES
 from tripmart.sources.tables import with_day
 
@@ -89,31 +89,40 @@ def _stage_taxi(
     sample_limit: int | None,
     day: str | None,
     constants: Mapping[str, tuple[Any, str]],
+    sample_share: float | None,
 ) -> DataFrame:
     """One trip per vendor and pickup time.
 
     Only the raw columns that are staged pass the shuffle. All of them order the
-    survivors, so equal runs agree.
+    survivors, so equal runs agree. A share of the keys is taken before they are shuffled.
     """
     spec, pickup = TAXI_COLUMNS.format(prefix=prefix), f"{prefix}_pickup_datetime"
     used = list(dict.fromkeys(source for _, source, _ in _columns(spec) if source not in constants))
     known = raw.select(*used).where(F.col("vendorid").isNotNull())
     keys = [pickup, "vendorid"]
+    known = sample_groups(known, ["vendorid", pickup], sample_share)
     kept = dedup_first(known, keys, [name for name in used if name not in keys])
     kept = conform_constants(kept, constants)
     return sample(_project(kept, spec, ("vendorid", pickup), day), sample_limit)
 
 
-def stage_green(raw: DataFrame, sample_limit: int | None = None, day: str | None = None) -> DataFrame:
-    return _stage_taxi(raw, "lpep", sample_limit, day, {})
+def stage_green(
+    raw: DataFrame, sample_limit: int | None = None, day: str | None = None, sample_share: float | None = None
+) -> DataFrame:
+    return _stage_taxi(raw, "lpep", sample_limit, day, {}, sample_share)
 
 
-def stage_yellow(raw: DataFrame, sample_limit: int | None = None, day: str | None = None) -> DataFrame:
-    return _stage_taxi(raw, "tpep", sample_limit, day, YELLOW_CONSTANTS)
+def stage_yellow(
+    raw: DataFrame, sample_limit: int | None = None, day: str | None = None, sample_share: float | None = None
+) -> DataFrame:
+    return _stage_taxi(raw, "tpep", sample_limit, day, YELLOW_CONSTANTS, sample_share)
 
 
-def stage_fhv(raw: DataFrame, sample_limit: int | None = None, day: str | None = None) -> DataFrame:
+def stage_fhv(
+    raw: DataFrame, sample_limit: int | None = None, day: str | None = None, sample_share: float | None = None
+) -> DataFrame:
     """All rows: this feed is neither deduplicated nor filtered."""
     used = list(dict.fromkeys(source for _, source, _ in _columns(FHV_COLUMNS)))
     key = ("dispatching_base_num", "pickup_datetime")
-    return sample(_project(raw.select(*used), FHV_COLUMNS, key, day), sample_limit)
+    wanted = sample_groups(raw.select(*used), key, sample_share)
+    return sample(_project(wanted, FHV_COLUMNS, key, day), sample_limit)

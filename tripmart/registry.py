@@ -40,6 +40,7 @@ NUMERIC = "decimal(38,9)"
 NULL_KEY_TOKEN = "_dbt_utils_surrogate_key_null_"
 KEY_ZONE_SUFFIX = "+00"  # how the warehouse prints a UTC timestamp, kept so that keys stay the same
 UNKNOWN_BOROUGH = "Unknown"
+PICKUP_COLUMNS = {"green": "lpep_pickup_datetime", "yellow": "tpep_pickup_datetime", "fhv": "pickup_datetime"}
 FILE_NAME = "%s_tripdata_%d-%02d.parquet"
 PUBLICATION_LAG_MONTHS = 2
 VEHICLE_TYPES = ("fhv", "fhvhv", "green", "yellow")

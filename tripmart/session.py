@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +52,23 @@ def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+@contextmanager
+def sized(spark: SparkSession, input_bytes: int):
+    """`sizing` for the jobs run inside, then the caller's settings again."""
+    settings = sizing(input_bytes, spark.sparkContext.defaultParallelism)
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield settings
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path below the cluster's shared checkpoint folder.
 

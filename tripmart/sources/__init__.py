@@ -1,4 +1,5 @@
-from tripmart.sources.landing import IngestError, ingest, read_by_columns, read_raw
+from tripmart.sources.commit import recover
+from tripmart.sources.landing import IngestError, ingest, input_bytes, read_by_columns, read_ledger, read_raw, scan_by_columns
 from tripmart.sources.tables import (
     materialize,
     read_days,
@@ -12,12 +13,16 @@ from tripmart.sources.tables import (
 __all__ = [
     "IngestError",
     "ingest",
+    "input_bytes",
     "materialize",
     "read_by_columns",
     "read_days",
+    "read_ledger",
     "read_raw",
     "read_zones",
+    "recover",
     "register_external",
+    "scan_by_columns",
     "scan_parquet",
     "with_day",
     "write_day_partitioned",

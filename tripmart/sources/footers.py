@@ -13,26 +13,29 @@ from pyspark.sql import functions as F
 FILE_PATTERN = r"([^/]+)_tripdata_([0-9]{4})-([0-9]{2})\.parquet(?:/[^/]*)?$"
 # A path to its Arrow file system and its name there; it must travel to tasks.
 Opener = Callable[[str], tuple]
-FOOTER = "columns string, n_rows bigint, error string"
+FOOTER = "columns string, n_rows bigint, n_bytes bigint, proven string, error string"
+MAX_EXACT_DOUBLE = 2**53
 
 
 def list_parquet(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of all Parquet files below `root`; their contents are not read."""
+    """Paths, lengths and times of all Parquet files below `root`; their contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(root)
-        .select("path")
+        .select("path", "length", F.col("modificationTime").alias("modified"))
     )
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Trip files below `root`: path, vehicle_type, year, month, file_name."""
+    """Trip files below `root`: path, length, modified, vehicle_type, year, month, file_name."""
     paths = list_parquet(spark, root)
     part = lambda group: F.regexp_extract("path", FILE_PATTERN, group)
     return paths.where(F.col("path").rlike(FILE_PATTERN)).select(
         "path",
+        "length",
+        "modified",
         part(1).alias("vehicle_type"),
         part(2).cast("int").alias("year"),
         part(3).cast("int").alias("month"),
@@ -64,7 +67,10 @@ def uri_mapper() -> Callable[[str], str]:
 
 
 def read_footers(files: DataFrame, opener: Opener | None = None) -> DataFrame:
-    """Add column names with types, and row count, of each `path`; unreadable files keep the error.
+    """Add column names with types, row count, uncompressed bytes and proven columns of each `path`; unreadable files keep the error.
+
+    A column is proven if statistics of all its row groups say that it has only nulls, or only integers that a double
+    holds exactly: no cast of such a column to the type of a feed can lose a value.
 
     Storage that can't be opened is an error of the run. `opener` replaces Arrow's own choice of file system.
 
@@ -72,7 +78,7 @@ def read_footers(files: DataFrame, opener: Opener | None = None) -> DataFrame:
     text and put all of them into one task.
     """
 
-    arrow_uri = uri_mapper()
+    arrow_uri, limit = uri_mapper(), MAX_EXACT_DOUBLE
 
     # Nested, so that it travels by value and executors need not have this package.
     def footers(batches):
@@ -88,6 +94,15 @@ def read_footers(files: DataFrame, opener: Opener | None = None) -> DataFrame:
             uri = arrow_uri(path)
             return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
 
+        def harmless(group, place, kind):
+            found = group.column(place).statistics
+            if found is None or not found.has_null_count:
+                return False
+            if found.null_count == group.num_rows:
+                return True
+            exact = pa.types.is_integer(kind) and found.has_min_max
+            return exact and -limit <= found.min and found.max <= limit
+
         def footer_of(fs, name):
             with fs.open_input_file(name) as handle:
                 footer = pq.ParquetFile(handle)
@@ -98,7 +113,13 @@ def read_footers(files: DataFrame, opener: Opener | None = None) -> DataFrame:
                     [column.name, "int96" if column.name in int96 else str(column.type)]
                     for column in footer.schema_arrow
                 ]
-                return json.dumps(columns), footer.metadata.num_rows, None
+                meta = footer.metadata
+                groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+                place = {column.path: i for i, column in enumerate(stored)}
+                proven = [
+                    f.name for f in footer.schema_arrow if f.name in place and all(harmless(g, place[f.name], f.type) for g in groups)
+                ]
+                return json.dumps(columns), meta.num_rows, sum(g.total_byte_size for g in groups), json.dumps(proven), None
 
         for batch in batches:
             found = []
@@ -107,16 +128,18 @@ def read_footers(files: DataFrame, opener: Opener | None = None) -> DataFrame:
                 try:
                     found.append(footer_of(fs, name))
                 except Exception as problem:  # the outcome of this file, not of the run
-                    found.append((None, None, f"{type(problem).__name__}: {problem}"))
-            columns, n_rows, error = zip(*found) if found else ((), (), ())
+                    found.append((None, None, None, None, f"{type(problem).__name__}: {problem}"))
+            columns, n_rows, n_bytes, proven, error = zip(*found) if found else ((),) * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
                     pa.array(columns, pa.string()),
                     pa.array(n_rows, pa.int64()),
+                    pa.array(n_bytes, pa.int64()),
+                    pa.array(proven, pa.string()),
                     pa.array(error, pa.string()),
                 ],
-                names=[*batch.schema.names, "columns", "n_rows", "error"],
+                names=[*batch.schema.names, "columns", "n_rows", "n_bytes", "proven", "error"],
             )
 
     tasks = files.sparkSession.sparkContext.defaultParallelism

@@ -1,7 +1,8 @@
 """Landing monthly trip files as partitioned Parquet.
 
 Driver side there is metadata only: one entry per file, as Spark's own file index
-holds. Footers are read, values checked and files written in tasks.
+holds. Footers are read, values checked and files written in tasks. A run writes aside and swaps its
+months in at the end, see `commit`; what became of each file is kept in a ledger.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 from typing import NamedTuple, TypeVar
 
@@ -23,15 +24,19 @@ from pyspark.sql import types as T
 
 from tripmart.operators.manifest import month_grid, run_grid, split_available
 from tripmart.registry import DEFAULT_VEHICLE_TYPES, FEEDS, Feed, feed_of
-from tripmart.session import configure
+from tripmart.session import configure, sized
+from tripmart.sources.commit import LEDGER, MonthKey, Run, raw_path, recover
 from tripmart.sources.enforce import NANOS, enforce_schema
+from tripmart.sources.files import Store
 from tripmart.sources.footers import Opener, list_files, list_parquet, month_of_file, read_footers, same_path
 
 REPORT = (
     "vehicle_type string, year int, month int, file_name string, "
     "status string, n_rows bigint, n_bad bigint, error string"
 )
-LANDED, FAILED, MISSING = "landed", "failed", "missing"
+LEDGER_ROWS = f"{REPORT}, length bigint, modified timestamp, n_parts bigint, landed_at timestamp"
+LANDED, FAILED, MISSING, UNCHANGED = "landed", "failed", "missing", "unchanged"
+MAX_SCANS = 16  # of files with equal columns, by which of them could lose values
 UNREADABLE = re.compile(r"\[FAILED_READ_FILE\S*\] Encountered error while reading file (\S+)\.\s")
 
 Result = TypeVar("Result")
@@ -51,20 +56,30 @@ class Month:
     file_name: str
     # part path -> its columns, as JSON of (name, type) pairs
     parts: dict[str, str] = field(default_factory=dict)
+    # part path -> columns whose statistics prove that no cast loses a value
+    proven: dict[str, frozenset[str]] = field(default_factory=dict)
     n_rows: int = 0
+    n_bytes: int = 0
     n_bad: int = 0
+    length: int = 0
+    modified: datetime | None = None
     error: str | None = None
     missing: bool = False
+    unchanged: bool = False
 
     def whole(self, part: str) -> str:
         """Path of the published file that `part` belongs to."""
         return part[: part.rindex(self.file_name) + len(self.file_name)]
 
+    @property
+    def key(self) -> MonthKey:
+        return self.vehicle_type, self.year, self.month
+
     def fail(self, why: str) -> None:
         self.error = self.error or why
 
     def report(self) -> tuple:
-        status = MISSING if self.missing else FAILED if self.error else LANDED
+        status = MISSING if self.missing else FAILED if self.error else UNCHANGED if self.unchanged else LANDED
         rows = None if self.missing else self.n_rows
         return (
             self.vehicle_type, self.year, self.month, self.file_name,
@@ -72,10 +87,6 @@ class Month:
         )
 
 
-def raw_path(dest: str, vehicle_type: str) -> str:
-    return f"{dest.rstrip('/')}/raw/vehicle_type={vehicle_type}"
-
-
 @contextmanager
 def _nanos_readable(spark: SparkSession):
     """Nanosecond columns arrive as integers; Spark refuses the file otherwise."""
@@ -111,7 +122,11 @@ def _collect_months(files: DataFrame, opener: Opener | None = None) -> list[Mont
             month.fail(row["error"])
         else:
             month.parts[row["path"]] = row["columns"]
+            month.proven[row["path"]] = frozenset(json.loads(row["proven"]))
             month.n_rows += row["n_rows"]
+            month.n_bytes += row["n_bytes"]
+        month.length += row["length"]
+        month.modified = max(filter(None, (month.modified, row["modified"])))
     for month in months.values():
         places = sorted({month.whole(path) for path in month.parts})
         if len(places) > 1:
@@ -153,17 +168,37 @@ def _read_groups(
     ]
 
 
-def _bad_values(parts: Iterable[tuple[Group, DataFrame]]) -> list[Row]:
+def _risky_scans(groups: Mapping[str, Group], months: Iterable[Month]) -> list[tuple[Group, list[str], list[str]]]:
+    """(group, columns, paths): which columns of which files have to be read to know that no value is lost.
+
+    Statistics in footers decide the others. Beyond MAX_SCANS kinds of files their columns are united.
+    """
+    kinds: dict[str, dict[frozenset[str], list[str]]] = defaultdict(lambda: defaultdict(list))
+    for month in months:
+        risks = {p: (c, frozenset(groups[c].bad) - month.proven.get(p, frozenset())) for p, c in month.parts.items()}
+        alike = len(set(risks.values())) == 1
+        for path, (columns, risky) in risks.items():
+            if risky:
+                kinds[columns][risky].append(month.whole(path) if alike else path)
+    scans = []
+    for columns, by_risk in kinds.items():
+        if len(by_risk) > MAX_SCANS:
+            by_risk = {frozenset().union(*by_risk): [p for paths in by_risk.values() for p in paths]}
+        scans += [(groups[columns], sorted(risky), sorted(set(paths))) for risky, paths in by_risk.items()]
+    return scans
+
+
+def _bad_values(spark: SparkSession, scans: Iterable[tuple[Group, list[str], list[str]]]) -> list[Row]:
     """Lossy values per file and column: one job over only the columns that could lose any."""
     counts = []
-    for group, df in parts:
-        if group.bad:
-            per_file = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-                *[F.count_if(check).alias(name) for name, check in group.bad.items()]
-            )
-            by_name = F.create_map(*[part for name in group.bad for part in (F.lit(name), F.col(f"`{name}`"))])
-            lost = F.map_filter(by_name, lambda _, n: n > 0).alias("bad")
-            counts.append(per_file.select("path", lost).where(F.size("bad") > 0))
+    for group, names, paths in scans:
+        df = spark.read.schema(group.schema).parquet(*paths)
+        per_file = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+            *[F.count_if(group.bad[name]).alias(name) for name in names]
+        )
+        by_name = F.create_map(*[part for name in names for part in (F.lit(name), F.col(f"`{name}`"))])
+        lost = F.map_filter(by_name, lambda _, n: n > 0).alias("bad")
+        counts.append(per_file.select("path", lost).where(F.size("bad") > 0))
     return reduce(DataFrame.unionAll, counts).collect() if counts else []
 
 
@@ -191,7 +226,7 @@ def _isolating(months: list[Month], action: Callable[[list[Month]], Result]) ->
 
 def _check_values(spark: SparkSession, groups: Mapping[str, Group], months: list[Month]) -> None:
     owner = {same_path(path): month for month in months for path in month.parts}
-    for row in _isolating(months, lambda good: _bad_values(_read_groups(spark, groups, good))):
+    for row in _isolating(months, lambda good: _bad_values(spark, _risky_scans(groups, good))):
         month = owner[same_path(row["path"], encoded=True)]
         month.n_bad += sum(row["bad"].values())
         lost = ", ".join(f"{name} ({n})" for name, n in sorted(row["bad"].items()))
@@ -203,35 +238,32 @@ def _with_month(df: DataFrame, columns: Sequence[Column | str]) -> DataFrame:
     return df.select(*columns, year.alias("year"), month.alias("month"))
 
 
-def _write_months(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Replace the months present in `df`, leave all others."""
-    (
-        df.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month")
-        .parquet(path)
-    )
+def _write_months(df: DataFrame, path: str) -> None:
+    df.write.mode("append").partitionBy("year", "month").parquet(path)
 
 
 def _empty_months(df: DataFrame, months: Iterable[Month], path: str) -> None:
-    """Months without rows name no partition in a dynamic overwrite, so clear them one by one."""
+    """Months without rows make no partition, so each gets a file without rows."""
     for month in months:
         if not month.n_rows:
-            df.limit(0).write.mode("overwrite").parquet(f"{path}/year={month.year}/month={month.month}")
+            df.limit(0).write.mode("append").parquet(f"{path}/year={month.year}/month={month.month}")
 
 
-def _land_enforced(spark: SparkSession, feed: Feed, months: list[Month], path: str, strict_names: bool) -> None:
+def _land_enforced(spark: SparkSession, feed: Feed, months: list[Month], run: Run, strict_names: bool) -> str:
+    """Write the good months aside; returns where."""
     groups = _enforced_groups(spark, feed, _good(months), strict_names)
     _check_values(spark, groups, _good(months))
 
-    def write(good: list[Month]) -> None:
+    def write(good: list[Month]) -> str:
+        path = run.aside(feed.name)
         if good:
             parts = [_with_month(df, group.casts) for group, df in _read_groups(spark, groups, good)]
             landed = reduce(DataFrame.unionByName, parts)
             _write_months(landed, path)
             _empty_months(landed.drop("year", "month"), good, path)
+        return path
 
-    _isolating(_good(months), write)
+    return _isolating(_good(months), write)
 
 
 def _unresolved(spark: SparkSession, columns: str, paths: Sequence[str]) -> str | None:
@@ -246,8 +278,8 @@ def _unresolved(spark: SparkSession, columns: str, paths: Sequence[str]) -> str
     return None
 
 
-def _land_as_is(spark: SparkSession, months: list[Month], path: str) -> None:
-    """One write per set of columns; a month spread over several is replaced, then appended to."""
+def _land_as_is(spark: SparkSession, feed: Feed, months: list[Month], run: Run) -> str:
+    """Write the good months aside, one write per set of columns; returns where."""
     for month in _good(months):
         if any(kind.startswith(NANOS) for columns in month.parts.values() for _, kind in json.loads(columns)):
             month.fail("nanosecond times cannot be kept unchanged")
@@ -257,27 +289,48 @@ def _land_as_is(spark: SparkSession, months: list[Month], path: str) -> None:
             if problem and columns in month.parts.values():
                 month.fail(problem)
 
-    def check(good: list[Month]) -> None:
-        # A month of several column sets is written in several steps, so all its pages are read first.
-        mixed = [month for month in good if len(set(month.parts.values())) > 1]
-        for paths in _by_columns(mixed).values():
-            spark.read.parquet(*paths).write.format("noop").mode("overwrite").save()
+    def write(good: list[Month]) -> str:
+        path = run.aside(feed.name)
+        for columns, paths in _by_columns(good).items():
+            df = _with_month(spark.read.parquet(*paths), ["*"])
+            _write_months(df, path)
+            _empty_months(df.drop("year", "month"), [m for m in good if columns in m.parts.values()], path)
+        return path
+
+    return _isolating(_good(months), write)
+
 
-    _isolating(_good(months), check)
+def read_ledger(spark: SparkSession, dest: str) -> DataFrame:
+    """The newest row of each file that any run to `dest` has met."""
+    path = f"{dest.rstrip('/')}/{LEDGER}"
+    if not Store(spark).exists(path):
+        return spark.createDataFrame([], LEDGER_ROWS)
+    rows = spark.read.schema(LEDGER_ROWS).parquet(path)
+    names = [f.name for f in rows.schema.fields]
+    newest = rows.groupBy("file_name").agg(F.max_by(F.struct(*names), F.struct("landed_at", "status")).alias("row"))
+    return newest.select("row.*")
 
-    def write(good: list[Month]) -> None:
-        written: set[str] = set()
-        for columns in _by_columns(good):
-            touched = [month for month in good if columns in month.parts.values()]
-            for again in (False, True):
-                chosen = [month for month in touched if (month.file_name in written) == again]
-                if chosen:
-                    df = _with_month(spark.read.parquet(*_by_columns(chosen)[columns]), ["*"])
-                    _write_months(df, path, "append" if again else "overwrite")
-                    _empty_months(df.drop("year", "month"), chosen, path)
-            written |= {month.file_name for month in touched}
 
-    _isolating(_good(months), write)
+def _write_ledger(spark: SparkSession, run: Run, months: list[Month]) -> None:
+    rows = [(*m.report(), m.length, m.modified, len(m.parts)) for m in months if not m.missing and not m.unchanged]
+    if rows:
+        columns = LEDGER_ROWS.rsplit(",", 1)[0]
+        stamped = spark.createDataFrame(rows, columns).withColumn("landed_at", F.current_timestamp())
+        stamped.coalesce(1).write.parquet(run.ledger)
+
+
+def _split_unchanged(files: DataFrame, ledger: DataFrame) -> tuple[DataFrame, list[Month]]:
+    """Files that are new or were published again, and the months that have landed as they are."""
+    now = files.groupBy("file_name").agg(
+        F.sum("length").alias("length"), F.max("modified").alias("modified"), F.count("*").alias("n_parts")
+    )
+    landed = ledger.where(F.col("status") == LANDED)
+    same = landed.join(now, ["file_name", "length", "modified", "n_parts"], "left_semi")
+    months = [
+        Month(r["vehicle_type"], r["year"], r["month"], r["file_name"], n_rows=r["n_rows"], unchanged=True)
+        for r in same.collect()
+    ]
+    return split_available(files, same, "file_name")[1], months
 
 
 def _check_arguments(
@@ -312,6 +365,8 @@ def ingest(
     as_of: date | None = None,
     feeds: Mapping[str, Feed] = FEEDS,
     opener: Opener | None = None,
+    only_new: bool = False,
+    enforce: bool = True,
 ) -> DataFrame:
     """Land the wanted months from `source` below `dest`/raw, return one outcome per file.
 
@@ -319,12 +374,16 @@ def ingest(
     restricts the run to published links, else every listed file counts. A wanted file that
     does not exist raises if `strict` and is reported otherwise. A file whose names,
     types or values do not fit its feed is rejected alone; `on_error="raise"` raises
-    once the others are landed. Running again replaces the same months. `opener` gives the Arrow file system
-    and the name of a path, for storage whose credentials Arrow does not find itself.
+    once the others are landed. Running again replaces the same months; with `only_new` files that have landed
+    with the same length and time are left alone and reported as unchanged. Without `enforce` files of all feeds are
+    landed as they are, as a local copy is. `opener` gives the Arrow file system
+    and the name of a path, for storage whose credentials Arrow does not find itself. Nothing below `dest`/raw changes
+    before all of the run has been written; an interrupted run is finished or rolled back by the next one.
     """
     vehicle_types = list(DEFAULT_VEHICLE_TYPES if vehicle_types is None else vehicle_types)
     _check_arguments(vehicle_types, years, month, on_error, feeds)
     configure(spark)
+    recover(spark, dest)
 
     wanted = month_grid(
         run_grid(spark, vehicle_types, years), F.current_date() if as_of is None else F.lit(as_of), month
@@ -343,48 +402,80 @@ def ingest(
         raise FileNotFoundError(f"not found: {sorted(month.file_name for month in absent)}")
 
     chosen, _ = split_available(files, valid, "file_name")
-    with _nanos_readable(spark):
-        months = _collect_months(chosen, opener)
-        for name in vehicle_types:
-            of_feed = [m for m in months if m.vehicle_type == name]
-            path = raw_path(dest, name)
-            if feeds[name].raw_ddl:
-                _land_enforced(spark, feeds[name], of_feed, path, strict_names)
-            else:
-                _land_as_is(spark, of_feed, path)
-
-    outcomes = [m.report() for m in (*months, *absent)]
+    unchanged: list[Month] = []
+    if only_new:
+        chosen, unchanged = _split_unchanged(chosen, read_ledger(spark, dest))
+    run = Run(spark, dest)
+    places: dict[str, str] = {}
+    try:
+        with _nanos_readable(spark):
+            months = _collect_months(chosen, opener)
+            for name in vehicle_types:
+                of_feed = [m for m in months if m.vehicle_type == name]
+                if not of_feed:
+                    continue
+                with sized(spark, sum(m.n_bytes for m in of_feed)):
+                    if enforce and feeds[name].raw_ddl:
+                        places[name] = _land_enforced(spark, feeds[name], of_feed, run, strict_names)
+                    else:
+                        places[name] = _land_as_is(spark, feeds[name], of_feed, run)
+        _write_ledger(spark, run, months)
+    except Exception:
+        run.roll_back()
+        raise
+    run.commit((m.key, places[m.vehicle_type]) for m in _good(months))
+    run.finish()
+
+    outcomes = [m.report() for m in (*months, *unchanged, *absent)]
     if on_error == "raise" and any(m.error for m in months):
         failed = {m.file_name: m.error for m in months if m.error}
         raise IngestError(f"{len(failed)} of {len(months)} files rejected: {failed}")
     return spark.createDataFrame(outcomes, REPORT)
 
 
-def read_by_columns(spark: SparkSession, location: str) -> list[DataFrame]:
-    """Read a folder of Parquet files whose types differ, as one DataFrame per set of columns.
+def scan_by_columns(
+    spark: SparkSession, location: str, opener: Opener | None = None
+) -> tuple[list[DataFrame], int]:
+    """One DataFrame per set of columns below a folder, and the uncompressed bytes of all its files.
 
     Files that all agree give one plain scan.
     """
     groups: dict[str, list[str]] = defaultdict(list)
-    for row in read_footers(list_parquet(spark, location)).collect():
+    n_bytes = 0
+    for row in read_footers(list_parquet(spark, location), opener).collect():
         if row["error"]:
             raise IngestError(f"{row['path']}: {row['error']}")
         groups[row["columns"]].append(row["path"])
+        n_bytes += row["n_bytes"]
     if not groups:
         raise FileNotFoundError(f"no Parquet file below {location}")
     if len(groups) == 1:
-        return [spark.read.parquet(location)]
-    return [spark.read.parquet(*paths) for paths in groups.values()]
+        return [spark.read.parquet(location)], n_bytes
+    # Named files alone don't tell the partition columns, their common folder does.
+    together = spark.read.option("basePath", location.rstrip("/"))
+    return [together.parquet(*paths) for paths in groups.values()], n_bytes
+
+
+def read_by_columns(spark: SparkSession, location: str, opener: Opener | None = None) -> list[DataFrame]:
+    """Read a folder of Parquet files whose types differ, as one DataFrame per set of columns."""
+    return scan_by_columns(spark, location, opener)[0]
+
+
+def input_bytes(spark: SparkSession, location: str, opener: Opener | None = None) -> int:
+    """Uncompressed bytes of all Parquet files below a folder, from their footers."""
+    footers = read_footers(list_parquet(spark, location), opener)
+    return footers.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
 
 
 def read_raw(
     spark: SparkSession,
     location: str,
     project: Callable[[DataFrame], DataFrame] | None = None,
+    opener: Opener | None = None,
 ) -> DataFrame:
     """All rows of such a folder: `project` brings each kind to common types, then they are united.
 
     Without `project` Spark widens the types as in any union.
     """
-    parts = read_by_columns(spark, location)
+    parts = read_by_columns(spark, location, opener)
     return reduce(DataFrame.unionByName, map(project, parts) if project else parts)

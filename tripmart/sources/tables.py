@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.casts import field_type
 from tripmart.registry import PICKUP_DAY, ZONES_CSV
+from tripmart.sources.versions import refresh
 
 
 def scan_parquet(spark: SparkSession, location: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -78,15 +79,9 @@ def read_days(
 def materialize(
     df: DataFrame, name: str, partition_by: str | None = None, location: str | None = None
 ) -> DataFrame:
-    """Full refresh of a table.
+    """Full refresh of a table: readers see the old rows until the new ones are all written.
 
     Rows should come clustered by `partition_by`, see `with_day`. `location` is the
-    folder that holds the tables; the catalog's own by default.
+    folder that holds the tables; the warehouse folder by default.
     """
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    if location is not None:
-        writer = writer.option("path", f"{location.rstrip('/')}/{name}")
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    return refresh(df, name, partition_by, location)
