@@ -48,10 +48,10 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stash(df: DataFrame, label: str) -> DataFrame:
+def stash(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write a table to the shared scratch folder and read it back: lineage ends here."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -16,6 +16,9 @@ listed, less than SMALL for each member. Larger groups are compared in blocks of
 then, with the components so found, all that differ in component. Parity sketches, which never differ in more bits than the
 sets in tokens, drop pairs that can't link; the texts of the other pairs are compared exactly.
 
+Texts are stored once, beside the facts of their set, and never shuffled as a whole: what is compared or combined is chosen
+by the ids of its nodes, which are broadcast up to BROADCAST_NODES and joined by a shuffle beyond.
+
 Defined results: a null or empty text has an empty set, links with nothing and is its own component;
 less than SHINGLE words make one shingle; repeated rows share a component; with null ids
 the component is the least id that isn't null, if any; an empty table gives an empty result; other columns are ignored.
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +44,7 @@ CLASS_RATIO = 1.5
 SMALL = 32
 BRIEF = 16
 BLOCK_NODES = 2048
+BROADCAST_NODES = 1_000_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -129,10 +134,10 @@ def combinations(row: np.ndarray, token: np.ndarray, sizes: np.ndarray, threshol
 
 
 def sets_table(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """(doc_id, text_key, node, n_shingles, prefix, crowded, sketch), stored; texts are cut into shingles once for all of these.
+    """(doc_id, text_key, node, n_shingles, prefix, crowded, sketch, text), stored; texts are cut into shingles once for all of these.
 
-    A task gives prefix tokens and sketch (see `sketch_of`) where it first meets a node. It reports at most
-    RARE + 1 nodes of a token, as more make it frequent; other nodes that hold the token are crowded.
+    A task gives prefix tokens, sketch (see `sketch_of`) and text where it first meets a node. Once it has met a token
+    again and again, it reports no more of its nodes, as it is frequent; other nodes that hold the token are crowded.
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,14 +176,22 @@ def sets_table(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
                 sketch_of(token[e - m : e]) if first else None
                 for e, m, first in zip(end.tolist(), size.tolist(), fresh.tolist(), strict=True)
             ]
+            texts = pc.if_else(pa.array(fresh), batch.column("text"), pa.scalar(None, pa.string()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(node), pa.array(size), prefix]
-                + [pa.array(crowded), pa.array(sketches, pa.binary())],
-                ["doc_id", "text_key", "node", "n_shingles", "prefix", "crowded", "sketch"],
+                + [pa.array(crowded), pa.array(sketches, pa.binary()), texts],
+                ["doc_id", "text_key", "node", "n_shingles", "prefix", "crowded", "sketch", "text"],
             )
 
-    columns = "doc_id long, text_key long, node long, n_shingles long, prefix array<long>, crowded boolean, sketch binary"
-    return stash(docs.mapInArrow(measure, columns), "sets")
+    columns = "doc_id long, text_key long, node long, n_shingles long, prefix array<long>, crowded boolean, sketch binary, text string"
+    return stash(docs.mapInArrow(measure, columns), "sets", compression="zstd")
+
+
+def among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows whose node is among `nodes` (one column `node`), each node once. Rows that aren't wanted don't move while the nodes are few."""
+    nodes = stash(nodes.distinct(), "nodes")
+    few = nodes.count() <= BROADCAST_NODES
+    return rows.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
 def shared_tokens(entries: DataFrame) -> DataFrame:
@@ -202,7 +215,7 @@ def sketch_of(token: np.ndarray) -> bytes:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) that link, stored; the texts of their nodes alone are joined to both sides."""
+    """The pairs (a, b) that link, stored; the texts of their nodes alone are moved to both sides."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,7 +234,7 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: int) ->
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(good)
 
     concerned = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    texts = texts.join(concerned, "node", "left_semi")
+    texts = among(texts, concerned)
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "text_a", "text_b")
@@ -244,7 +257,7 @@ def sketches_of(sets: DataFrame, nodes: DataFrame) -> DataFrame:
                 [*columns, pa.array(briefs, pa.list_(pa.int64()))], ["node", "size", "sketch", "brief"]
             )
 
-    met = sets.where(F.col("sketch").isNotNull()).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    met = among(sets.where(F.col("sketch").isNotNull()).select("node", "n_shingles", "sketch"), nodes)
     rows = met.select("node", F.col("n_shingles").alias("size"), "sketch")
     return stash(rows.mapInArrow(fold, "node long, size long, sketch binary, brief array<long>"), "sketches")
 
@@ -399,15 +412,8 @@ def join_similar(
     sets = sets_table(docs, shingle, threshold)
     prefixes = stash(shared_tokens(sets.select(F.explode("prefix").alias("token"), "node")), "prefixes")
     members = prefixes.select("node", "frequent").union(sets.where("crowded").select("node", F.lit(True)))
-    concerned = members.groupBy("node").agg(F.max("frequent").alias("frequent"))
-    first = sets.where("n_shingles > 0").groupBy("node").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("row")
-    )
-    chosen = first.join(concerned, "node").select("node", "frequent", "row.doc_id", "row.text_key")
-    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_key") == F.col("c.text_key"))
-    texts = docs.alias("d").join(chosen.alias("c"), same).select("node", "frequent", "text")
-    texts = stash(texts.dropDuplicates(["node"]), "texts")
-    sketches = sketches_of(sets, texts.select("node"))
+    texts = sets.where(F.col("text").isNotNull()).select("node", "text")
+    sketches = sketches_of(sets, members.select("node"))
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -416,7 +422,8 @@ def join_similar(
             row, key = combinations(row, token, size, threshold)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node[row])], ["entry", "node"])
 
-    combined = texts.where("frequent").select("text").mapInArrow(combine, "entry long, node long")
+    frequent = among(texts, members.where("frequent").select("node"))
+    combined = frequent.select("text").mapInArrow(combine, "entry long, node long")
     rare = prefixes.where("not frequent").select(F.col("token").alias("entry"), "node")
     members = stash(groups_of(rare.union(combined)), "groups")
 
@@ -442,7 +449,11 @@ def join_similar(
 
 
 def keep_first(df: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of `df` but one of each component, that of the least id; empty texts all stay."""
+    """The rows of `df` but one of each component, that of the least id that isn't null.
+
+    Rows without words all stay, repeated or not, also those with null ids. Of rows with equal id and text one stays, whichever their
+    other columns are. The columns are those of `df`, whatever their names; an empty table gives an empty result.
+    """
     every = stash(join_similar(df, shingle, threshold), "joined")
     rows = every.where("n_shingles > 0")
     # The first row of each component, without bringing a component's rows together.
@@ -453,5 +464,10 @@ def keep_first(df: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD
     dropped = dropped.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     same = df["doc_id"].eqNullSafe(dropped["_id"]) & (text_key("text") == dropped["_key"])
     kept = df.join(dropped, same, "left_anti")
-    repeated = rows.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+    repeated = rows.groupBy("doc_id", "text_key").count().where("count > 1")
+    repeated = repeated.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    if repeated.isEmpty():
+        return kept
+    again = kept["doc_id"].eqNullSafe(repeated["_id"]) & (text_key("text") == repeated["_key"])
+    once = kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, again, "left_anti").union(once)

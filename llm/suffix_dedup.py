@@ -299,12 +299,16 @@ def remove_passages(
 
 
 def cut_passages(df: DataFrame, length: int = LENGTH) -> DataFrame:
-    """`df` with its texts cut, and n_chars set anew if there is such a column."""
+    """`df` with its texts cut, and n_chars set anew if there is such a column.
+
+    Every row stays, with a null text if it had one, and with the columns of `df`, whatever their names; repeated rows
+    repeat each other, so all of them are cut. An empty table gives an empty result.
+    """
     cut = remove_passages(df, length).where("kept is not null").select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "kept"
     ).dropDuplicates(["_id", "_key"])
     same = df["doc_id"].eqNullSafe(cut["_id"]) & (text_key("text") == cut["_key"])
-    joined = df.join(cut, same, "left").withColumn("text", F.coalesce("kept", "text"))
-    if "n_chars" in df.columns:
-        joined = joined.withColumn("n_chars", F.length("text").cast("long"))
-    return joined.select(*df.columns)
+    text = F.coalesce(cut["kept"], df["text"])
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    columns = [new.get(c, df[f"`{c}`"]).alias(c) for c in df.columns]
+    return df.join(cut, same, "left").select(*columns)
