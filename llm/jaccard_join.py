@@ -3,7 +3,11 @@
 Sets are 64-bit hashes of SHINGLE words; equal sets are one node. Two sets that
 link miss at most e = n - ceil(threshold * n) of each other's tokens, n being the size.
 
-Rare tokens: in the order of hashes, the first e + 1 tokens of two linked sets share one, so each
+Tokens are in one order for all sets: those of up to RARE sets by hash, then the more frequent ones by count. The counts are of
+40-bit fingerprints of all tokens of all texts, which pass the shuffle as differences of sorted numbers, 3 bytes each. At most
+HOT_TOKENS of them, the most frequent, are broadcast; any order would be right, this one keeps frequent tokens out of prefixes.
+
+Rare tokens: the first e + 1 tokens of two linked sets share one, so each
 prefix token is indexed alone. A token that more than RARE nodes hold is of the frequent class:
 its nodes extend their prefix to the whole set and are indexed by combinations of tokens.
 For that the tokens are dealt over more buckets than two linked sets can differ in, by size class, so that
@@ -34,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import mix, raw, stash, text_key, words_of
+from llm.common import mix, raw, slots, stash, text_key, words_of
 from llm.components import components
 
 SHINGLE, THRESHOLD = 4, 85
@@ -45,6 +49,8 @@ SMALL = 32
 BRIEF = 16
 BLOCK_NODES = 2048
 BROADCAST_NODES = 1_000_000
+HOT_TOKENS = 1_000_000
+FINGERPRINT, RUN_TOKENS = 40, 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -64,11 +70,11 @@ def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
         tokens.append(value[inside])
     begin = np.cumsum(counts) - counts
     for r in np.flatnonzero((counts > 0) & (counts < k)).tolist():
-        value = np.uint64(counts[r])
+        value = counts[r : r + 1].astype(np.uint64)
         for x in h[begin[r] : begin[r] + counts[r]]:
-            value = mix(np.array([value * _B + x]))[0]
+            value = mix(value * _B + x)
         rows.append(np.array([r]))
-        tokens.append(np.array([value]))
+        tokens.append(value)
     row, token = np.concatenate(rows), np.concatenate(tokens)
     order = np.lexsort((token, row))
     row, token = row[order], token[order]
@@ -133,6 +139,96 @@ def combinations(row: np.ndarray, token: np.ndarray, sizes: np.ndarray, threshol
     return np.concatenate(out_row), np.concatenate(out_key)
 
 
+def pack_differences(values: np.ndarray) -> bytes:
+    """Sorted distinct numbers below 2^40 as 3-byte differences; larger ones are spelled as steps of 2^24 - 1."""
+    step = np.diff(values, prepend=np.int64(0))
+    whole = step // 0xFFFFFF
+    out = np.repeat(np.int64(0xFFFFFF), len(values) + int(whole.sum()))
+    out[np.cumsum(whole + 1) - 1] = step % 0xFFFFFF
+    return out.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def unpack_differences(data: bytes) -> np.ndarray:
+    step = np.zeros((len(data) // 3, 4), np.uint8)
+    step[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    step = step.view("<u4").reshape(-1).astype(np.int64)
+    return np.cumsum(step)[step != 0xFFFFFF]
+
+
+def fingerprints(token: np.ndarray) -> np.ndarray:
+    return (token >> np.uint64(64 - FINGERPRINT)).astype(np.int64)
+
+
+def hot_tokens(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprints in order, place in the order of counts) of tokens that more than RARE texts hold."""
+    spark = docs.sparkSession
+    buckets = 4 * slots(spark)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            values, times = np.unique(np.concatenate(waiting), return_counts=True)
+            waiting.clear()
+            bucket = (values * buckets) >> FINGERPRINT
+            begins = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            once, twice, more = [], [], []
+            for b, e in zip(begins.tolist(), np.append(begins[1:], len(values)).tolist(), strict=True):
+                again = b + np.flatnonzero(times[b:e] > 1)
+                once.append(pack_differences(values[b:e]))
+                twice.append(pack_differences(values[again]))
+                more.append((times[again] - 1).astype("<u4").tobytes())
+            blobs = [pa.array(x, pa.binary()) for x in (once, twice, more)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[begins].astype(np.int32)), *blobs], ["bucket", "once", "twice", "more"])
+
+        for batch in batches:
+            _, token = shingle_sets(raw(batch.column("text").to_pylist()), shingle)
+            if len(token):
+                waiting.append(fingerprints(token))
+                size += len(token)
+            if size > RUN_TOKENS:
+                yield flush()
+                size = 0
+        if waiting:
+            yield flush()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present, values, times = None, [], []
+
+        def total() -> pa.RecordBatch:
+            value, back = np.unique(np.concatenate(values), return_inverse=True)
+            n = np.bincount(back, np.concatenate(times)).astype(np.int64)
+            hot = n > RARE
+            values.clear()
+            times.clear()
+            return pa.RecordBatch.from_arrays([pa.array(value[hot]), pa.array(n[hot])], ["token", "n"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["bucket"] != present and values:
+                    yield total()
+                present = row["bucket"]
+                once, twice = unpack_differences(row["once"]), unpack_differences(row["twice"])
+                values += [once, twice]
+                times += [np.ones(len(once), np.int64), np.frombuffer(row["more"], "<u4").astype(np.int64)]
+        if values:
+            yield total()
+
+    runs = docs.select("text").mapInArrow(count, "bucket int, once binary, twice binary, more binary")
+    dealt = runs.repartition(slots(spark), "bucket").sortWithinPartitions("bucket")
+    counts = stash(dealt.mapInArrow(add, "token long, n long"), "frequent-tokens")
+    classes = counts.groupBy((F.length(F.bin("n")) - 1).alias("k")).count().orderBy(F.desc("k")).collect()  # 63 rows at most
+    kept = int(np.searchsorted(np.cumsum([r["count"] for r in classes]), HOT_TOKENS, side="right"))
+    least = 1 << classes[kept - 1]["k"] if kept else 1 << 62
+    table = counts.where(F.col("n") >= least).toArrow()
+    token, n = table["token"].to_numpy(), table["n"].to_numpy()
+    place = np.empty(len(token), np.int64)
+    place[np.lexsort((token, n))] = np.arange(1, len(token) + 1)
+    order = np.argsort(token)
+    return token[order], place[order]
+
+
 def sets_table(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
     """(doc_id, text_key, node, n_shingles, prefix, crowded, sketch, text), stored; texts are cut into shingles once for all of these.
 
@@ -140,7 +236,10 @@ def sets_table(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
     again and again, it reports no more of its nodes, as it is frequent; other nodes that hold the token are crowded.
     """
 
+    hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(docs, shingle))
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, rank = hot.value
         counts: dict[int, int] = {}
         known = np.zeros(0, np.int64)
         seen: set[int] = set()
@@ -156,9 +255,14 @@ def sets_table(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
                 seen.clear()
             fresh &= size > 0
             end = np.cumsum(size)
+            ordered = token
+            if len(frequent) and len(token):
+                mark = fingerprints(token)
+                at = np.minimum(np.searchsorted(frequent, mark), len(frequent) - 1)
+                ordered = token[np.lexsort((token, np.where(frequent[at] == mark, rank[at], 0), row))]
             place = np.arange(len(row)) - (end - size)[row]
             kept = (place <= missing_allowed(size, threshold)[row]) & fresh[row]
-            tokens, owners = token[kept].view(np.int64), row[kept]
+            tokens, owners = ordered[kept].view(np.int64), row[kept]
             # Tokens met before in this task, or twice in this batch, are counted.
             _, back, times = np.unique(tokens, return_inverse=True, return_counts=True)
             again = np.flatnonzero((times[back] > 1) | np.isin(tokens, known))
