@@ -2,7 +2,9 @@
 
 In DataFrame operations only. A text becomes template tokens: numbers, names (a
 capital inside a sentence) and units stand as typed placeholders, other words in
-lower case without punctuation. Hashes of WINDOW tokens in a row are joined with those
+lower case without punctuation; white space counts as one space. Texts with names have a second, plain template
+in which names are words like others, so that copies in other case match too;
+it doesn't count along alignments whose marked slots disagree. Hashes of WINDOW tokens in a row are joined with those
 of the benchmark. Along one alignment the slots must agree: whatever stands for one value
 of the item is the same value throughout. A document and an item match when the windows found
 along all alignments whose slots agree hold COVERAGE of the item's tokens, or when RUN tokens in
@@ -12,8 +14,9 @@ value stands in none of those alignments.
 The benchmark side is broadcast only while it has at most BROADCAST_WINDOWS windows.
 Defined results: null or empty texts and items match nothing; items of less than
 WINDOW tokens are matched by their whole length only against windows of that
-length, down to SHORT tokens, and not below; repeated rows of documents give
-the same rows again once per distinct (doc_id, text); a null doc_id is kept as null; null item_ids are
+length, down to SHORT tokens; an item below that matches the documents whose whole text has the same tokens, as inside
+longer texts its few words prove nothing; repeated rows of documents give
+one row per item and distinct (doc_id, text); a null doc_id is kept as null; null item_ids are
 items too. Other columns are ignored.
 """
 
@@ -42,9 +45,7 @@ PUNCTUATION = r"[!-/:-@\[-`{-~«»“”„‘’–—…¿¡]+"
 
 def marked(text: Column) -> Column:
     """The text with a mark before each slot value, without punctuation, in lower case."""
-    text = F.coalesce(text, F.lit(""))
-    for mark in (NAME, NUMBER, UNIT, AFTER):
-        text = F.replace(text, F.lit(mark), F.lit(" "))
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x00-\\x20\\x7f\\p{Z}]+", " ")  # the marks too
     text = F.regexp_replace(text, r"(?<=[\p{Ll}\d,;] )(\p{Lu}\p{L}*\p{Ll})", f"{NAME}$1")
     numbers = F.regexp_replace(text, r"(?<![\p{L}\p{N}.,\x02])(\d)", f"{NUMBER}$1")
     # Inside a number, points and commas belong to it.
@@ -58,8 +59,14 @@ BLANK = "[\\x00-\\x01\\x06-\\x20\\x7f]+"
 
 
 def with_tokens(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys, _values (tokens, slot values with their mark) and _types (tokens, slots as their mark alone)."""
+    """keys, plain, _values (tokens, slot values with their mark) and _types (tokens, slots as their mark alone).
+
+    A text with names has a second row, with plain = 1, whose names aren't marked; its tokens have the same places.
+    """
     rows = df.select(*keys, F.btrim(marked(F.col(text))).alias("_marked"))
+    both = F.array("_marked", F.replace("_marked", F.lit(NAME), F.lit("")))
+    templates = F.when(F.instr("_marked", NAME) > 0, both).otherwise(F.array("_marked"))
+    rows = rows.select(*keys, F.posexplode(templates).alias("plain", "_marked"))
     slotted = F.greatest(*[F.instr("_marked", mark) for mark in (NAME, NUMBER, UNIT)]) > 0
     types = F.regexp_replace("_marked", f"([{NAME}-{UNIT}])[^\\x00-\\x01\\x06-\\x20\\x7f]*", "$1")
     rows = rows.withColumn("_values", F.split("_marked", BLANK))
@@ -95,12 +102,20 @@ def item_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     rows = rows.dropDuplicates(["item_id", "item_key"])
     keys = ["item_id", "item_key"]
     tokens = with_tokens(rows, keys, "_item").where(F.col("_values")[0] != "")
-    every = windows(tokens, keys, list(range(SHORT, WINDOW + 1))).withColumnsRenamed({"pos": "item_pos"})
-    own = tokens.select(F.col("item_id").alias("_id"), F.col("item_key").alias("_key"), "_values")
-    same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item_key") == F.col("_key"))
+    tokens = tokens.withColumnRenamed("plain", "template")
+    every = windows(tokens, [*keys, "template"], list(range(SHORT, WINDOW + 1))).withColumnsRenamed({"pos": "item_pos"})
+    own = tokens.select(F.col("item_id").alias("_id"), F.col("item_key").alias("_key"), F.col("template").alias("_no"), "_values")
+    same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item_key") == F.col("_key")) & (F.col("template") == F.col("_no"))
     every = every.join(own, same).where(F.col("size") == F.least(F.size("_values"), F.lit(WINDOW)))
     slots = slots_at(F.col("_values"), F.col("item_pos"), F.col("size"))
-    return every.select("item_id", "item_key", "size", "item_pos", "h", slots.alias("item_slots"))
+    return every.select("item_id", "item_key", "template", "size", "item_pos", "h", slots.alias("item_slots"))
+
+
+def short_texts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """keys and _short, the tokens without marks, of texts of one to SHORT - 1 tokens."""
+    words = df.select(*keys, F.btrim(F.translate(marked(F.col(text)), NAME + NUMBER + UNIT, "")).alias("_words"))
+    rows = words.where(F.col("_words") != "").select(*keys, F.split("_words", BLANK).alias("_short"))
+    return rows.where(F.size("_short") < SHORT).distinct()
 
 
 def find_leaks(
@@ -124,36 +139,48 @@ def find_leaks(
 
     keys = ["doc_id", "text_key"]
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    tokens = with_tokens(rows.withColumn("text_key", text_key("_text")), keys, "_text")
-    hits = windows(tokens, keys, sorted(facts["sizes"]) or [WINDOW]).join(side(items), ["size", "h"])
+    rows = rows.withColumn("text_key", text_key("_text"))
+    tokens = with_tokens(rows, keys, "_text")
+    hits = windows(tokens, [*keys, "plain"], sorted(facts["sizes"]) or [WINDOW]).join(side(items), ["size", "h"])
     if facts["slotted"]:
         # Slot values of the documents that match, from their texts.
         hits = stash(hits, "hits")
-        wanted = hits.where(slotted).select(*keys).distinct()
+        wanted = hits.where(slotted).select(*keys, "plain").distinct()
         same = F.col("w.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("w.text_key") == F.col("t.text_key"))
-        own = tokens.dropDuplicates(keys).alias("t").join(wanted.alias("w"), same, "left_semi")
-        own = own.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_values")
+        same &= F.col("w.plain") == F.col("t.plain")
+        own = tokens.alias("t").join(wanted.alias("w"), same, "left_semi").dropDuplicates([*keys, "plain"])
+        own = own.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("plain").alias("_plain"), "_values")
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")) & slotted
+        same &= F.col("plain") == F.col("_plain")
         slots = slots_at(F.col("_values"), F.col("pos"), F.col("size"))
-        hits = hits.join(own, same, "left").withColumn("slots", slots).drop("_id", "_key", "_values")
+        hits = hits.join(own, same, "left").withColumn("slots", slots).drop("_id", "_key", "_plain", "_values")
     else:
         hits = hits.withColumn("slots", F.lit(None).cast("array<string>"))
 
     pair = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
     along = [*keys, "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")]
     # One group holds at most the windows of one item.
-    found = hits.groupBy(*along).agg(
-        F.array_sort(F.collect_set("item_pos")).alias("at"),
-        F.array_distinct(F.flatten(F.collect_list(F.when(slotted, pair)))).alias("slots"),
-    )
+    found = hits.groupBy(*along).agg(*[
+        column
+        for k, mine in enumerate((F.col("template") == 0, F.col("template") == 1))
+        for column in (
+            F.array_sort(F.collect_set(F.when(mine, F.col("item_pos")))).alias(f"at{k}"),
+            F.array_distinct(F.flatten(F.collect_list(F.when(slotted & mine, pair)))).alias(f"slots{k}"),
+        )
+    ])
     values = F.array_distinct(F.transform("slots", lambda p: p["a"]))
-    agreed = found.where(F.size("slots") == F.size(values)).withColumns({
+    agree = F.size("slots") == F.size(values)
+    # Where the marked slots disagree, the plain template doesn't count either.
+    first = F.size("slots0") == F.size(F.array_distinct(F.transform("slots0", lambda p: p["a"])))
+    templates = [F.struct(F.lit(k).alias("template"), F.col(f"at{k}").alias("at"), F.col(f"slots{k}").alias("slots")) for k in (0, 1)]
+    found = found.where(first).select(*along[:-1], "shift", F.inline(F.array(*templates)))
+    agreed = found.where(agree & (F.size("at") > 0)).withColumns({
         "values": values,
         "kept": F.transform(F.filter("slots", lambda p: p["a"] == p["b"]), lambda p: p["a"]),
         "run": longer_run(F.col("at"), RUN - WINDOW + 1),
     })
     together = lambda name: F.array_distinct(F.flatten(F.collect_set(name)))
-    united = agreed.groupBy(*along[:-1]).agg(
+    united = agreed.groupBy(*along[:-1], "template").agg(
         F.array_sort(together("at")).alias("at"),
         F.size(together("values")).alias("n_slots"),
         F.size(together("kept")).alias("n_kept"),
@@ -167,11 +194,17 @@ def find_leaks(
     covered = F.transform(at, lambda p, k: F.least(size, F.coalesce(F.get(at, k + 1) - p, size)))
     whole = F.aggregate(covered, F.lit(0), lambda s, x: s + x) / F.col("n_tokens")
     matched = joined.withColumn("_whole", whole).where((F.col("_whole") >= coverage) | F.col("run"))
-    return matched.groupBy("doc_id", "text_key", "item_id").agg(
-        F.max("_whole").alias("coverage"),
-        F.max_by("n_slots", "_whole").cast("long").alias("n_slots"),
-        F.max_by(F.col("n_slots") - F.col("n_kept"), "_whole").cast("long").alias("n_changed"),
-    )
+    best = F.max(F.struct("_whole", "n_slots", (F.col("n_slots") - F.col("n_kept")).alias("n_changed"))).alias("best")
+    leaks = matched.groupBy("doc_id", "text_key", "item_id").agg(best).select(
+        "doc_id", "text_key", "item_id", F.col("best._whole").alias("coverage"),
+        F.col("best.n_slots").cast("long").alias("n_slots"), F.col("best.n_changed").cast("long").alias("n_changed"),
+    )
+    few = short_texts(benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("_item")), ["item_id"], "_item")
+    if few.isEmpty():
+        return leaks
+    none = F.lit(0).cast("long")
+    alike = short_texts(rows, keys, "_text").join(few, "_short")
+    return leaks.unionByName(alike.select(*keys, "item_id", F.lit(1.0).alias("coverage"), none.alias("n_slots"), none.alias("n_changed")))
 
 
 def drop_leaking(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -210,6 +210,69 @@ def test_reworded_questions(spark, none):
     assert decontamination.find_leaks(none, items).count() == 0
 
 
+def test_copies_in_other_case_and_spacing(spark):
+    q = "in the long summer of 1912 the painter Maria met Jonas near Lisbon and sold him 3 km of rope for old Peter to use"
+    forms = [q, q.replace(" M", "\nM").replace(" J", "\r\n\tJ").replace(" P", "\n P"), q.replace(" ", "  "), q.lower(), q.upper(), q.title(),
+             q.replace(" ", "\u00a0"), q.replace("Lisbon", "lisbon"), q.replace("Maria", "Anna").replace("1912", "1850")]
+    texts = [f"some words before. {form} and words after" for form in forms]
+    texts += [q.replace("Lisbon and", "Rome but").replace("painter", "man").replace("sold him", "got").replace("long", "wet"), q[:40]]
+    texts += ["who wrote War\n\nand peace", "who wrote war peace?", " WHO  wrote, war; Peace", "so who wrote war peace", "42", "Who", "17"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for item in (q, q.lower()):
+        items = spark.createDataFrame([(1, item), (2, "Who wrote war peace"), (3, "42"), (4, "!")], "item_id long, text string")
+        found = decontamination.find_leaks(docs, items)
+        assert dict(found.dtypes)["n_changed"] == "bigint"
+        got = sorted((r.doc_id, r.item_id) for r in found.collect())
+        assert got == [(k, 1) for k in range(9)] + [(12, 2), (13, 2), (15, 3)]
+    facts = {r.doc_id: (r.coverage, r.n_slots, r.n_changed) for r in decontamination.find_leaks(docs, items.where("item_id = 1")).collect()}
+    assert facts[0] == facts[3] == (1.0, 3, 0)
+    items = spark.createDataFrame([(1, q)], "item_id long, text string")
+    facts = {r.doc_id: (r.coverage, r.n_slots, r.n_changed) for r in decontamination.find_leaks(docs, items).collect()}
+    assert facts[0] == facts[1] == facts[2] == (1.0, 7, 0) and facts[8] == (1.0, 7, 2)
+
+
+def plain_template(text):
+    """Lower-case words of letters only, as random items here have no slots."""
+    return "".join(c if c.isalpha() else " " for c in text.lower()).split()
+
+
+def test_random_items_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    words = [a + b for a in "bdfgklm" for b in ("ala", "eno", "iro", "ut")]
+    say = lambda n: rng.choice(words, n).tolist()
+    items = {k: say(int(rng.integers(1, 40))) for k in range(60)}
+    docs = {}
+    for k in range(200):
+        item = items[int(rng.integers(60))]
+        a, b = sorted(rng.integers(0, len(item) + 1, 2).tolist())
+        middle = item if k % 3 else item[a:b]
+        parts = say(int(rng.integers(0, 30))) if k % 4 else []
+        text = [*parts, *middle, *(say(3) if k % 4 else [])]
+        docs[k] = "".join(w.upper() + " \n" if rng.random() < 0.1 else w + rng.choice([" ", "  ", ", "]) for w in text)
+    want = {}
+    for d, text in docs.items():
+        t = plain_template(text)
+        for i, item in items.items():
+            n = len(item)
+            if n < 5:
+                if t == item:
+                    want[d, i] = 1.0
+                continue
+            size, at, run = min(n, 8), set(), False
+            for shift in range(-n, len(t)):
+                hit = [p for p in range(n - size + 1) if 0 <= p + shift and t[p + shift : p + shift + size] == item[p : p + size]]
+                at.update(hit)
+                run |= any(all(p + j in hit for j in range(6)) for p in hit)
+            share = len({p + j for p in at for j in range(size)}) / n
+            if share >= 0.5 or run:
+                want[d, i] = share
+    found = decontamination.find_leaks(
+        spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
+        spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id long, text string"),
+    )
+    assert {(r.doc_id, r.item_id): round(r.coverage, 9) for r in found.collect()} == {k: round(v, 9) for k, v in want.items()}
+
+
 def test_interrupted_and_quoted_questions(spark):
     say = lambda name, n: [f"{name}{k}q" for k in range(n)]
     long, middle, short = say("a", 59), say("b", 38), say("c", 18)
