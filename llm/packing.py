@@ -2,8 +2,9 @@
 
 The lengths of all pieces make a histogram of at most `capacity` entries. Patterns of
 one to three lengths that fill a sequence exactly get repeat counts by non-negative
-least squares, the counts are rounded, and what is left is packed best fit,
-longest first, with repeat counts too. The work on the driver depends on
+least squares; the counts are rounded, or cut to whole numbers, and what is left is packed best fit,
+longest first, with repeat counts too. Of these plans, and of one without patterns, the one with the fewest sequences
+is taken, so that packing never needs more than best fit alone. The work on the driver depends on
 `capacity`, not on the number of documents. Pieces are then numbered within their length and the
 number tells sequence and offset.
 
@@ -95,29 +96,39 @@ def best_fit(left: np.ndarray) -> Groups:
     return [group for groups in by_space.values() for group in groups]
 
 
+def take_patterns(patterns: np.ndarray, repeats: np.ndarray, left: np.ndarray) -> Groups:
+    """The patterns as often as asked for and as pieces last; `left` loses what they take."""
+    groups: Groups = []
+    chosen = np.flatnonzero(repeats > 0)
+    for lengths, wanted in zip(patterns[chosen].tolist(), repeats[chosen].tolist(), strict=True):
+        lengths = [v for v in lengths if v]
+        wanted = min(wanted, *(int(left[v]) // lengths.count(v) for v in set(lengths)))
+        if wanted:
+            groups.append((tuple(lengths), wanted))
+            for v in lengths:
+                left[v] -= wanted
+    return groups
+
+
 def plan(counts: np.ndarray) -> Groups:
     """Sequences that hold exactly the pieces of the histogram; counts[k] pieces have length k."""
     left = counts.astype(np.int64).copy()
     capacity = len(left) - 1
-    groups: Groups = []
-    if left[capacity]:
-        groups.append(((capacity,), int(left[capacity])))
-        left[capacity] = 0
+    full: Groups = [((capacity,), int(left[capacity]))] if left[capacity] else []
+    left[capacity] = 0
+    plans = [best_fit(left)]
     patterns = exact_patterns(left)
     if len(patterns):
         x = fit_repeats(patterns, left)
         order = np.argsort(-x, kind="stable")
         # Rounding carries the fraction on to the next pattern.
         rounded = np.diff(np.floor(np.append(0, np.cumsum(x[order])) + 0.5)).astype(np.int64)
-        for k, wanted in zip(order[rounded > 0].tolist(), rounded[rounded > 0].tolist(), strict=True):
-            lengths = [v for v in patterns[k].tolist() if v]
-            for v in set(lengths):
-                wanted = min(wanted, int(left[v]) // lengths.count(v))
-            if wanted:
-                groups.append((tuple(lengths), wanted))
-                for v in lengths:
-                    left[v] -= wanted
-    return groups + best_fit(left)
+        for repeats in (rounded, np.floor(x[order]).astype(np.int64)):
+            rest = left.copy()
+            taken = take_patterns(patterns[order], repeats, rest)
+            plans.append(taken + best_fit(rest))
+    # Among equals the plan by rounded patterns.
+    return full + min([*plans[1:], plans[0]], key=lambda groups: sum(n for _, n in groups))
 
 
 def runs(groups: Groups) -> np.ndarray:

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from llm import binary_ids, decontamination, jaccard_join, language_model, licenses, packing
 from llm import quality, suffix_dedup, token_counts, toxicity
 from llm.common import prepare
-from llm.packing import plan
+from llm.packing import best_fit, plan
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {k: k + 32 for k in range(65, 91)}
@@ -197,6 +197,28 @@ def test_plan_is_near_the_bound():
     assert sum(n for _, n in groups) <= 1.02 * bound
 
 
+@pytest.mark.parametrize("kind", ["uniform", "narrow", "geometric", "large", "two", "halves", "empty"])
+def test_plan_never_needs_more_than_best_fit(kind):
+    rng = np.random.default_rng(7)
+    lengths = {
+        "uniform": rng.integers(1, 2049, 5_000),
+        "narrow": rng.normal(600, 60, 5_000).astype(int).clip(1, 2048),
+        "geometric": rng.geometric(1 / 300, 5_000).clip(1, 2048),
+        "large": rng.integers(1025, 2049, 500),
+        "two": np.array([1024] * 7 + [683] * 5),
+        "halves": rng.choice([512, 1024, 1536, 2048], 1_000),
+        "empty": np.zeros(0, dtype=int),
+    }[kind]
+    counts = np.bincount(lengths, minlength=2049)
+    groups = plan(counts)
+    used = np.zeros(2049, dtype=int)
+    for held, n in groups:
+        assert sum(held) <= 2048 and n > 0
+        np.add.at(used, list(held), n)
+    assert np.array_equal(used, counts)
+    assert sum(n for _, n in groups) <= sum(n for _, n in best_fit(counts))
+
+
 def test_reworded_questions(spark, none):
     q = "the train from Paris to Lyon takes about 45 minutes and then Paris is 300 km away from the old town of Lyon said Anna"
     other = q.replace("Paris", "Berlin").replace("45", "90").replace("Lyon", "Bonn")
