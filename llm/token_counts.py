@@ -44,8 +44,7 @@ def frequent_lengths(df: DataFrame, vocabulary: str, text: str = "text") -> tupl
         hashes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         lengths: dict[int, int] = {}
         for batch in batches:
-            simple, _ = library.route([t or "" for t in batch.column(0).to_pylist()])
-            for p in library.pieces(simple):
+            for p in library.pieces([t or "" for t in batch.column(0).to_pylist()]):
                 found, first, n = np.unique(p.hash, return_index=True, return_counts=True)
                 often = np.flatnonzero(n > 1)
                 part = Pieces(p.data, p.rows[first[often]], p.start[first[often]], p.end[first[often]], found[often])
@@ -96,11 +95,8 @@ def count_tokens(
         library = encoder(vocabulary)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            simple, other = library.route(texts)
             tokens = np.zeros(len(texts), dtype=np.int64)
-            for row, ids in other.items():
-                tokens[row] = len(ids)
-            for p in library.pieces(simple):
+            for p in library.pieces(texts):
                 found = _lengths(library, p, *table.value)
                 tokens += np.bincount(p.rows, found, len(texts)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(

@@ -1,33 +1,34 @@
 """Token ids of whole texts, pre-token by pre-token through a cache kept by each worker.
 
 A byte-pair encoder works inside pre-tokens, so the ids of a text are those of its
-pre-tokens in turn. Ordinary texts are cut into pre-tokens with numpy; texts with
-apostrophes by pattern; texts with characters beyond a well-understood range, or
-with what may be a special token, go to the library whole. A pre-token is looked up
-by a 64-bit hash in a table of fixed size with two places for each, where a newer entry replaces an older one.
+pre-tokens in turn. All texts are cut into pre-tokens with numpy: those of ASCII and letters of two bytes
+by the classes of their bytes, others by the classes of their code points, after they were split at
+special strings and, where the vocabulary has a normalizer, normalized by the library. A pre-token is looked up
+by a 64-bit hash in a table of fixed size with two places for each, where a newer entry replaces an older one; those
+of more than INLINE_IDS ids in a dictionary of bounded size. Only pre-tokens that aren't there go to the library, one by one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from llm.common import LOWER, Prefix, segments
 
 CACHE_BITS = 21
 INLINE_IDS = 6
+LONG_PIECES, LONG_IDS = 50_000, 64
 
-# The pre-token patterns of the two vocabularies.
-BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# Letters of two UTF-8 bytes, punctuation and digits of ASCII: what numpy cuts.
-NOT_SIMPLE = regex.compile("[^\t\n\r\x20-\x26\x28-\x7eÀ-ÖØ-öø-įı-ɏ]|<\\|")
-NOT_PATTERNED = regex.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ɏ–—‘-„…€]|<\\|")
-SIMPLE_ASCII = bytes(b for b in [9, 10, 13, *range(32, 127)] if b != 39)
+WIDE_CHARS = 1 << 18
+# Letters of two UTF-8 bytes, and ASCII but for control characters: what is cut by bytes.
+NOT_SIMPLE = regex.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]")
+SIMPLE_ASCII = bytes([9, 10, 13, *range(32, 127)])
 LETTER, DIGIT, OTHER, SPACE, EDGE = range(5)
 
 
@@ -50,6 +51,14 @@ def _printable_bytes() -> dict[int, str]:
 CLASSES, PRINTABLE = _byte_classes(), _printable_bytes()
 
 
+@cache
+def wide_classes() -> np.ndarray:
+    """Class of every code point."""
+    from llm.bpe import character_classes  # imports this module
+
+    return character_classes(ByteLevel(add_prefix_space=False))
+
+
 def tokenizer_path(name: str) -> str:
     """Where a public vocabulary file is; names with a slash are paths already."""
     if "/" in name:
@@ -76,7 +85,11 @@ class CachedEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.by_words = self.library.normalizer is not None
-        self.find = regex.compile(WORD_PATTERN if self.by_words else BYTE_PATTERN).findall
+        added = {t.content: k for k, t in self.library.get_added_tokens_decoder().items()}
+        self.special = {t.encode(): [k] for t, k in added.items()}
+        self.names = sorted(added, key=len, reverse=True)
+        self.split = regex.compile("(" + "|".join(map(regex.escape, self.names)) + ")").split if added else lambda text: [text]
+        self.long: dict[int, list[int]] = {}
         self.keys = np.zeros(1 << CACHE_BITS, dtype=np.uint64)
         self.lengths = np.zeros(1 << CACHE_BITS, dtype=np.uint8)
         self.ids = np.zeros((1 << CACHE_BITS, INLINE_IDS), dtype=np.uint16 if self.vocabulary_size() <= 1 << 16 else np.uint32)
@@ -84,39 +97,118 @@ class CachedEncoder:
     def vocabulary_size(self) -> int:
         return self.library.get_vocab_size(with_added_tokens=True)
 
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-
     def one(self, piece: bytes) -> list[int]:
-        """ids of one pre-token."""
+        """ids of one pre-token or special string."""
+        if piece in self.special:
+            return self.special[piece]
         return [t.id for t in self.library.model.tokenize(piece.decode("latin-1").translate(PRINTABLE))]
 
-    def pieces(self, texts: list[bytes]) -> Iterator[Pieces]:
+    def remembered(self, key: int, piece: bytes) -> list[int]:
+        """ids of a pre-token that the table lacks."""
+        ids = self.long.get(key)
+        if ids is None:
+            ids = self.one(piece)
+            if INLINE_IDS < len(ids) <= LONG_IDS:
+                if len(self.long) >= LONG_PIECES:
+                    self.long.clear()
+                self.long[key] = ids
+        return ids
+
+    def cut(self, code: np.ndarray, classes: np.ndarray, begins: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each pre-token of parts that begin at `begins`, one character apart; those in `whole` are one each."""
+        edge = begins[1:] - 1
+        classes[edge] = EDGE
+        change = np.empty(len(code), dtype=bool)
+        change[:1] = True
+        np.not_equal(classes[1:], classes[:-1], out=change[1:])
+        change[edge] = True
+        if self.by_words:
+            change |= classes == DIGIT
+        else:
+            ends = np.flatnonzero(change[1:] & (classes[:-1] == SPACE) & (classes[1:] != EDGE))
+            change[ends] = True
+            change[ends[code[ends] == 32] + 1] = False
+        # 's, 't, 'm, 'd, 're, 've, 'll where an apostrophe begins a pre-token.
+        mark = np.flatnonzero((code[:-1] == 39) & change[:-1])
+        if len(mark):
+            one, two = code[mark + 1], code[np.minimum(mark + 2, len(code) - 1)]
+            short = (one == 115) | (one == 116) | (one == 109) | (one == 100)
+            long = (((one == 114) | (one == 118)) & (two == 101)) | ((one == 108) & (two == 108))
+            long &= mark + 2 < len(code)
+            mark, rest = mark[short | long], (mark + np.where(short, 2, 3))[short | long]
+            change[mark + 1] = False
+            change[rest[rest < len(code)]] = True
+        for k in np.flatnonzero(whole).tolist():
+            change[begins[k] + 1 : begins[k + 1] - 1 if k + 1 < len(begins) else len(code)] = False
+        start = np.flatnonzero(change)
+        end = np.append(start[1:], len(code))
+        kept = classes[start] != EDGE
+        if self.by_words:
+            kept &= classes[start] != SPACE
+        return start[kept], end[kept]
+
+    def narrow_pieces(self, texts: list[bytes]) -> Iterator[Pieces]:
         for data, rows, begins in segments(texts):
             if self.by_words:
                 data = LOWER[data]
-            classes = CLASSES[data]
-            edge = begins[1:] - 1
-            classes[edge] = EDGE
-            change = np.empty(len(data), dtype=bool)
-            change[:1] = True
-            np.not_equal(classes[1:], classes[:-1], out=change[1:])
-            change[edge] = True
-            if self.by_words:
-                change |= classes == DIGIT
-                dropped = SPACE
-            else:
-                dropped = EDGE
-                ends = np.flatnonzero(change[1:] & (classes[:-1] == SPACE) & (classes[1:] != EDGE))
-                change[ends] = True
-                change[ends[data[ends] == 32] + 1] = False
-            start = np.flatnonzero(change)
-            end = np.append(start[1:], len(data))
-            kept = (classes[start] != EDGE) & (classes[start] != dropped) if self.by_words else classes[start] != EDGE
-            start, end = start[kept], end[kept]
+            start, end = self.cut(data, CLASSES[data], begins, np.zeros(len(begins), dtype=bool))
             owner = rows[np.searchsorted(begins, start, side="right") - 1]
             yield Pieces(data, owner, start, end, Prefix(data).of(start, end))
 
+    def wide_parts(self, rows: list[int], texts: list[str]) -> Iterator[tuple[int, str, bool]]:
+        """(row, part, whether it is a special string), each part ready to be cut."""
+        from llm.bpe import slices  # imports this module
+
+        for row, text in zip(rows, texts, strict=True):
+            for k, between in enumerate(self.split(text)):
+                if k % 2:
+                    yield row, between, True
+                    continue
+                for part in slices(between):
+                    part = self.library.normalizer.normalize_str(part) if self.by_words else part
+                    if part:
+                        yield row, part, False
+
+    def wide_pieces(self, rows: list[int], texts: list[str]) -> Iterator[Pieces]:
+        held: list[tuple[int, str, bool]] = []
+        size = 0
+
+        def run() -> Pieces:
+            text = "\n".join(part for _, part, _ in held)
+            code = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+            begins = np.cumsum([0, *[len(part) + 1 for _, part, _ in held[:-1]]])
+            start, end = self.cut(code, wide_classes()[code], begins, np.array([whole for _, _, whole in held]))
+            owner = np.array([row for row, _, _ in held], dtype=np.int64)[np.searchsorted(begins, start, side="right") - 1]
+            offset = np.cumsum(np.append(0, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)))
+            data, start, end = np.frombuffer(text.encode(), dtype=np.uint8), offset[start], offset[end]
+            return Pieces(data, owner, start, end, Prefix(data).of(start, end))
+
+        for part in self.wide_parts(rows, texts):
+            held.append(part)
+            size += len(part[1]) + 1
+            if size >= WIDE_CHARS:
+                yield run()
+                held, size = [], 0
+        if held:
+            yield run()
+
+    def pieces(self, texts: list[str]) -> Iterator[Pieces]:
+        """Pre-tokens of all texts; those of one text come in turn."""
+        narrow: list[bytes] = []
+        wide: list[int] = []
+        for row, text in enumerate(texts):
+            if text.isascii():
+                plain = not text.encode().translate(None, SIMPLE_ASCII)
+            else:
+                plain = NOT_SIMPLE.search(text) is None
+            if plain and not any(name in text for name in self.names):
+                narrow.append((text.lower() if self.by_words and not text.isascii() else text).encode())
+            else:
+                narrow.append(b"")
+                wide.append(row)
+        yield from self.narrow_pieces(narrow)
+        yield from self.wide_pieces(wide, [texts[row] for row in wide])
+
     def lookup(self, p: Pieces) -> tuple[np.ndarray, dict[int, list[int]]]:
         """Slot of each piece after filling the table; ids of those that have no slot."""
         slot = (p.hash >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
@@ -129,7 +221,7 @@ class CachedEncoder:
         if len(missed):
             _, first, back = np.unique(p.hash[missed], return_index=True, return_inverse=True)
             buffer = p.data.tobytes()
-            found = [self.one(buffer[p.start[k] : p.end[k]]) for k in missed[first]]
+            found = [self.remembered(int(p.hash[k]), buffer[p.start[k] : p.end[k]]) for k in missed[first]]
             lengths = np.array([len(f) for f in found])
             taken = slot[missed[first]]
             fits = np.flatnonzero(lengths <= INLINE_IDS)
@@ -143,7 +235,7 @@ class CachedEncoder:
             for k in still.tolist():
                 key = int(p.hash[k])
                 if key not in by_hash:
-                    by_hash[key] = self.one(buffer[p.start[k] : p.end[k]])
+                    by_hash[key] = self.remembered(key, buffer[p.start[k] : p.end[k]])
                 loose[k] = by_hash[key]
         return slot, loose
 
@@ -174,41 +266,19 @@ class CachedEncoder:
         out[free] = packed
         return out, lengths
 
-    def route(self, texts: list[str]) -> tuple[list[bytes], dict[int, np.ndarray]]:
-        """Texts for numpy (others as empty), and ids of the others."""
-        simple, other = [], {}
-        for row, text in enumerate(texts):
-            if text.isascii():
-                plain = "<|" not in text and not text.encode().translate(None, SIMPLE_ASCII)
-            else:
-                plain = NOT_SIMPLE.search(text) is None
-            if plain:
-                simple.append((text.lower() if self.by_words and not text.isascii() else text).encode())
-                continue
-            simple.append(b"")
-            if NOT_PATTERNED.search(text) is None:
-                cut = self.find(text.lower() if self.by_words else text)
-                seen = {c: self.one(c.encode()) for c in set(cut)}
-                other[row] = np.array([i for c in cut for i in seen[c]], dtype=np.uint32)
-            else:
-                other[row] = self.whole(text)
-        return simple, other
-
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        simple, other = self.route(texts)
         parts: list[list[np.ndarray]] = [[] for _ in texts]
-        for p in self.pieces(simple):
+        for p in self.pieces(texts):
             if len(p.rows) == 0:
                 continue
             ids, lengths = self.piece_ids(p)
-            ends = np.cumsum(lengths)
-            row, last = p.rows[np.flatnonzero(np.append(p.rows[1:] != p.rows[:-1], True))], np.flatnonzero(np.append(p.rows[1:] != p.rows[:-1], True))
+            last = np.flatnonzero(np.append(p.rows[1:] != p.rows[:-1], True))
             begin = 0
-            for r, k in zip(row.tolist(), last.tolist(), strict=True):
-                parts[r].append(ids[begin : ends[k]])
-                begin = ends[k]
+            for r, k in zip(p.rows[last].tolist(), np.cumsum(lengths)[last].tolist(), strict=True):
+                parts[r].append(ids[begin:k])
+                begin = k
         none = np.zeros(0, dtype=np.uint32)
-        return [other[r] if r in other else (x[0] if len(x) == 1 else np.concatenate([none, *x])) for r, x in enumerate(parts)]
+        return [x[0] if len(x) == 1 else np.concatenate([none, *x]) for x in parts]
 
 
 _encoders: dict[str, CachedEncoder] = {}
