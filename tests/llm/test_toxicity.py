@@ -22,7 +22,8 @@ def plain_fit(rows, steps=20_000, rate=0.02):
     for g in set().union(*(s for s, _ in sets)):
         p = (sum(y for s, y in sets if g in s) + 1) / (n1 + 2)
         q = (sum(1 - y for s, y in sets if g in s) + 1) / (n0 + 2)
-        scale[g] = math.log(p / q)
+        error = math.sqrt((1 - p) / (p * (n1 + 2)) + (1 - q) / (q * (n0 + 2)))
+        scale[g] = math.copysign(max(abs(math.log(p / q)) - error, 0), p - q)
     weight, bias = dict.fromkeys(scale, 0.0), math.log(n1 / n0)
     for _ in range(steps):
         error = []
