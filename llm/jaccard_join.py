@@ -16,8 +16,10 @@ one bucket holds the same combination in both. Every linked pair shares a rare t
 A group of nodes with one index entry isn't expanded into pairs. Each node is compared with one leader,
 the least node of most of its groups. Links found make components, and only nodes of different components that
 share a group are compared further; equal groups count once. In groups of at most SMALL nodes those pairs of fitting size are
-listed, less than SMALL for each member. Larger groups are compared in blocks of BLOCK_NODES: first each node with the nearest,
-then, with the components so found, all that differ in component. Parity sketches, which never differ in more bits than the
+listed, less than SMALL for each member. Larger groups are gathered if most of their nodes are the same, as those of the
+entries of near copies, and compared in blocks of BLOCK_NODES: first each node with the nearest,
+then, with the components so found, all that differ in component. Nodes of the component that has most
+of a group aren't compared with each other, so only the rest go to several blocks. Parity sketches, which never differ in more bits than the
 sets in tokens, drop pairs that can't link; the texts of the other pairs are compared exactly.
 
 Texts are stored once, beside the facts of their set, and never shuffled as a whole: what is compared or combined is chosen
@@ -48,6 +50,7 @@ CLASS_RATIO = 1.5
 SMALL = 32
 BRIEF = 16
 BLOCK_NODES = 2048
+MEMBER, ASKING = 0, 1
 BROADCAST_NODES = 1_000_000
 HOT_TOKENS = 1_000_000
 FINGERPRINT, RUN_TOKENS = 40, 1 << 20
@@ -375,54 +378,54 @@ def _differing(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _folded(sketch: np.ndarray, length: int) -> np.ndarray:
+    while len(sketch) > length:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
+
+
 def _across(threshold: int, nearest: bool):
-    """Pairs of one block of a group, or of two, of different components, that sizes and sketches don't exclude.
+    """Pairs of asking nodes and others of one block, of different components, that sizes and sketches don't exclude.
 
-    With `nearest`, only the pair of each node whose sketches differ least.
+    With `nearest`, only the pair of each asking node whose sketches differ least.
     """
 
     def compare(table: pa.Table) -> pa.Table:
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        order = np.argsort(table["size"].to_numpy(), kind="stable")
-        size, node = table["size"].to_numpy()[order], table["node"].to_numpy()[order]
-        component, mine = table["component"].to_numpy()[order], table["mine"].to_numpy()[order]
-        column = table["sketch"].to_pylist()
-        sketches = [np.frombuffer(column[k], np.uint8) for k in order.tolist()]
+        table = table.take(np.argsort(table["size"].to_numpy(), kind="stable"))
+        size, node, component = (table[c].to_numpy() for c in ("size", "node", "component"))
+        role, asks = table["role"].to_numpy(), table["asks"].to_numpy(zero_copy_only=False)
+        sketches = [np.frombuffer(x, np.uint8) for x in table["sketch"].to_pylist()]
         length = np.array([len(x) for x in sketches])
-        left, right = [], []
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         best, least = np.full(len(node), -1), np.full(len(node), 1 << 60)
-        # Sketches grow with sizes: a set is compared with those of its own length or more, folded.
-        for bytes_ in np.unique(length).tolist():
-            begin = int(np.searchsorted(length, bytes_))
-            end = int(np.searchsorted(length, bytes_, side="right"))
-            top = int(np.searchsorted(size, size[end - 1] * 100 // threshold, side="right"))
-            folded = []
-            for x in sketches[begin:top]:
-                while len(x) > bytes_:
-                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-                folded.append(x)
-            matrix = np.stack(folded)
-            wide = matrix.view(np.uint64) if bytes_ % 8 == 0 else matrix
-            for x in range(begin, end):
-                last = min(int(np.searchsorted(size, size[x] * 100 // threshold, side="right")), top)
-                y = np.arange(x + 1, last)
-                y = y[(component[y] != component[x]) & ((mine[y] != mine[x]) | (i == j))]
-                if len(y):
-                    differ = np.bitwise_count(wide[y - begin] ^ wide[x - begin]).sum(axis=1, dtype=np.int64)
-                    fits = (100 + threshold) * differ <= (100 - threshold) * (size[x] + size[y])
-                    y, differ = y[fits], differ[fits]
-                    if nearest and len(y):
-                        closer = y[differ < least[y]]
-                        least[closer], best[closer] = differ[differ < least[y]], x
-                        if differ.min() < least[x]:
-                            least[x], best[x] = differ.min(), y[differ.argmin()]
-                        continue
-                    left += [node[x]] * len(y)
-                    right += node[y].tolist()
+        for mine in np.unique(length[role == ASKING]).tolist():
+            asking = np.flatnonzero((length == mine) & (role == ASKING))
+            for other in np.unique(length[role == MEMBER]).tolist():
+                met = np.flatnonzero((length == other) & (role == MEMBER))
+                low = np.searchsorted(size[met], -(-size[asking] * threshold // 100))
+                high = np.searchsorted(size[met], size[asking] * 100 // threshold, side="right")
+                if not (low < high).any():
+                    continue
+                width = min(mine, other)
+                matrix = np.stack([_folded(sketches[k], width) for k in met.tolist()])
+                wide = matrix.view(np.uint64) if width % 8 == 0 else matrix
+                for x, b, e in zip(asking.tolist(), low.tolist(), high.tolist(), strict=True):
+                    y = met[b:e]
+                    # Of two asking nodes one asks the other; the nearest may be any.
+                    fits = (component[y] != component[x]) & (nearest | ~asks[y] | (node[y] > node[x]))
+                    y, at = y[fits], np.arange(b, e)[fits]
+                    differ = np.bitwise_count(wide[at] ^ _folded(sketches[x], width).view(wide.dtype)).sum(axis=1, dtype=np.int64)
+                    close = (100 + threshold) * differ <= (100 - threshold) * (size[x] + size[y])
+                    y, differ = y[close], differ[close]
+                    if nearest and len(y) and differ.min() < least[x]:
+                        least[x], best[x] = differ.min(), y[differ.argmin()]
+                    elif not nearest:
+                        left.append(np.full(len(y), node[x]))
+                        right.append(node[y])
         if nearest:
             found = np.flatnonzero(best >= 0)
-            left, right = node[found], node[best[found]]
-        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+            left, right = [node[found]], [node[best[found]]]
+        return pa.table({"a": pa.array(np.concatenate(left)), "b": pa.array(np.concatenate(right))})
 
     return compare
 
@@ -490,15 +493,55 @@ def listed(members: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame
     return pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
 
 
+def gathered(members: DataFrame) -> DataFrame:
+    """(group, node, component, size), stored: groups of several components, those of about the same nodes as one.
+
+    Each node is at home in its largest group. A group goes to the home of at least half of its nodes,
+    and all that go to one home become one group, unless that makes more pairs than they have on their own.
+    """
+    counts = members.groupBy("group").agg(F.count("*").alias("n"), (F.min("component") < F.max("component")).alias("mixed"))
+    counts = counts.where("mixed").select("group", "n")
+    rows = stash(members.select("group", "node", "component", "size").join(counts, "group"), "mixed")
+    homes = rows.groupBy("node").agg(F.max_by("group", F.struct("n", "group")).alias("home"))
+    shared = rows.join(homes, "node").groupBy("group", "n", "home").agg(F.count("*").alias("k"))
+    best = shared.groupBy("group", "n").agg(F.max_by("home", F.struct("k", "home")).alias("home"), F.max("k").alias("k"))
+    target = F.when(2 * F.col("k") >= F.col("n"), F.col("home")).otherwise(F.col("group"))
+    targets = stash(best.select("group", "n", target.alias("target")), "targets")
+    pairs = targets.groupBy("target").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+    united = rows.join(targets.select("group", "target"), "group").select("target", "node").distinct()
+    united = united.groupBy("target").agg(F.count("*").alias("all")).join(pairs, "target")
+    united = targets.join(united, "target").select("group", F.when(F.col("all") * F.col("all") <= F.col("pairs"), F.col("target")).alias("into"))
+    moved = rows.join(united, "group").withColumn("group", F.coalesce("into", "group"))
+    return stash(moved.select("group", "node", "component", "size").distinct(), "gathered")
+
+
+def dealt(members: DataFrame) -> DataFrame:
+    """(group, i, j, role, asks, node, component, size): the members of large groups of several components, dealt into blocks.
+
+    Of two nodes that differ in component, one at least is outside of the component that has most of the group. Only these ask:
+    block i of asking nodes meets block j of all members.
+    """
+    members = gathered(members)
+    counts = members.groupBy("group", "component").agg(F.count("*").alias("n"))
+    main = F.max_by("component", F.struct("n", "component")).alias("main")
+    groups = counts.groupBy("group").agg(main, F.sum("n").alias("members"), (F.sum("n") - F.max("n")).alias("asking"))
+    nodes = members.join(groups, "group").withColumn("asks", F.col("component") != F.col("main"))
+
+    def places(role: int, mine: str, other: str) -> F.Column:
+        block = F.pmod(F.xxhash64("node"), F.ceil(F.col(mine) / BLOCK_NODES)).cast("int")
+        others = F.sequence(F.lit(0), F.ceil(F.col(other) / BLOCK_NODES).cast("int") - 1)
+        pair = (lambda k: (block, k)) if role == ASKING else (lambda k: (k, block))
+        return F.transform(others, lambda k: F.struct(F.lit(role).alias("role"), *(x.alias(n) for x, n in zip(pair(k), "ij", strict=True))))
+
+    asked = places(MEMBER, "members", "asking")
+    every = F.when(F.col("asks"), F.concat(asked, places(ASKING, "asking", "members"))).otherwise(asked)
+    nodes = nodes.withColumn("place", F.explode(every))
+    return nodes.select("group", "place.i", "place.j", "place.role", "asks", "node", "component", "size")
+
+
 def blocks(members: DataFrame, sketches: DataFrame, threshold: int, nearest: bool) -> DataFrame:
     """Pairs (a, b) of nodes of one large group that differ in component and may link, compared block by block."""
-    mixed = members.groupBy("group").agg((F.min("component") < F.max("component")).alias("mixed"))
-    nodes = members.join(mixed.where("mixed"), "group").withColumn("count", F.ceil(F.col("members") / BLOCK_NODES).cast("int"))
-    mine = F.pmod(F.xxhash64("node"), F.col("count")).cast("int")
-    nodes = nodes.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
-    nodes = nodes.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
-    nodes = nodes.join(sketches.select("node", "sketch"), "node")
-    nodes = nodes.select("group", "i", "j", "mine", "node", "component", "size", "sketch")
+    nodes = dealt(members).join(sketches.select("node", "sketch"), "node")
     pairs = nodes.groupBy("group", "i", "j").applyInArrow(_across(threshold, nearest), "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 

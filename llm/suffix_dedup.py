@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
 from llm.common import Prefix, raw, stash, text_key
 
@@ -194,8 +195,8 @@ def _same_row(a: str, b: str):
     return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
 
 
-def repeated_passages(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """(texts, passages): texts (doc_id, text_key, text) of concerned documents, and (doc_id, text_key, low, high) byte runs."""
+def repeated_passages(docs: DataFrame, length: int) -> DataFrame:
+    """(doc_id, text_key, low, high): runs of bytes of concerned documents."""
     by_anchor = Window.partitionBy("m")
     by_string = Window.partitionBy("m", "s").orderBy("doc_id", "text_key", "start")
     rows = strings_of(docs, length).repartition("m")
@@ -206,16 +207,16 @@ def repeated_passages(docs: DataFrame, length: int) -> tuple[DataFrame, DataFram
         "kinds": F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(by_anchor),
     })
     rows = stash(rows.where("total > 1"), "strings")
-    names = rows.select("doc_id", "text_key").distinct()
-    texts = docs.alias("d").join(names.alias("n"), _same_row("d", "n"), "left_semi")
-    texts = stash(texts.dropDuplicates(["doc_id", "text_key"]), "texts")
 
     # One of each string of anchors that have a single one among several.
     open_anchors = rows.where("n = 1 and kinds > 1").select("m").distinct()
     one_each = rows.where("nth = 1 and kinds > 1").join(open_anchors, "m", "left_semi")
     entry = F.struct("m", "s", "n", "kinds", "start", "windows", "place")
-    wanted = one_each.groupBy("doc_id", "text_key").agg(F.collect_list(entry).alias("strings"))
-    both = texts.alias("t").join(wanted.alias("w"), _same_row("t", "w")).select("text", F.col("strings"))
+    row_key = F.xxhash64("doc_id", "text_key").alias("row_key")
+    wanted = one_each.groupBy(row_key, "text_key").agg(F.collect_list(entry).alias("strings"))
+    # One shuffle by both keys brings texts to their strings and equal rows together.
+    both = docs.select("text", "text_key", row_key).join(wanted, ["row_key", "text_key"])
+    both = both.dropDuplicates(["row_key", "text_key"]).select("text", "strings")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,7 +252,42 @@ def repeated_passages(docs: DataFrame, length: int) -> tuple[DataFrame, DataFram
         "doc_id", "text_key", (F.col("start") + F.col("low")).alias("low"),
         (F.col("start") + F.col("high") + length).alias("high"),
     )
-    return texts, whole.union(partly)
+    return whole.union(partly)
+
+
+def marks_of(passages: DataFrame) -> DataFrame:
+    """(doc_id, text_key, runs) of concerned documents; at most a few runs for each anchor of the document."""
+    return passages.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+
+
+def covered(n: int, runs: list[dict]) -> np.ndarray:
+    """Which of n bytes are in a run."""
+    change = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(change, [r["low"] for r in runs], 1)
+    np.add.at(change, [r["high"] for r in runs], -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+_CUT = StructType().add("n_removed", LongType()).add("n_spans", LongType()).add("kept_sha256", StringType()).add("kept", StringType())
+
+
+@F.arrow_udf(_CUT)
+def _cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
+    """What stays of texts that have runs, null for the others."""
+    rows: list[dict | None] = []
+    for text, marked in zip(texts.to_pylist(), runs.to_pylist(), strict=True):
+        if marked is None:
+            rows.append(None)
+            continue
+        data = raw([text])[0]
+        gone = covered(len(data), marked)
+        left = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        rows.append({
+            "n_removed": int(gone.sum()), "n_spans": len(_runs(gone)),
+            "kept_sha256": hashlib.sha256(left).hexdigest(), "kept": left.decode("utf-8", "ignore"),
+        })
+    names = [("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())]
+    return pa.array(rows, pa.struct(names))
 
 
 def remove_passages(
@@ -261,40 +297,14 @@ def remove_passages(
     (without parts of cut characters), null if nothing goes."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = docs.withColumn("text_key", text_key())
-    texts, passages = repeated_passages(docs, length)
-    # At most a few runs for each anchor of the document.
-    marks = passages.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
-
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            removed, spans, sums, kept = [], [], [], []
-            for data, runs in zip(raw(batch.column("text").to_pylist()), batch.column("runs").to_pylist(), strict=True):
-                change = np.zeros(len(data) + 1, dtype=np.int64)
-                np.add.at(change, [r["low"] for r in runs], 1)
-                np.add.at(change, [r["high"] for r in runs], -1)
-                gone = np.cumsum(change[:-1]) > 0
-                left = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                removed.append(int(gone.sum()))
-                spans.append(len(_runs(gone)))
-                sums.append(hashlib.sha256(left).hexdigest())
-                kept.append(left.decode("utf-8", "ignore"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), *(pa.array(x) for x in (removed, spans, sums)), pa.array(kept, pa.string())],
-                ["doc_id", "text_key", "n_removed", "n_spans", "kept_sha256", "kept"],
-            )
-
-    joined = texts.alias("t").join(marks.alias("m"), _same_row("t", "m")).select("t.doc_id", "t.text_key", "text", "runs")
-    cut = joined.mapInArrow(
-        remove, "doc_id long, text_key long, n_removed long, n_spans long, kept_sha256 string, kept string"
-    )
+    c = _cut(F.when(F.col("runs").isNotNull(), F.col("text")), F.col("runs")).alias("c")
+    marked = docs.alias("d").join(marks_of(repeated_passages(docs, length)).alias("m"), _same_row("d", "m"), "left")
     binary = F.encode("text", "UTF-8")
-    facts = docs.select(
-        "doc_id", "text_key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(binary, 256).alias("sha")
-    )
-    return facts.alias("f").join(cut.alias("c"), _same_row("f", "c"), "left").select(
-        "f.doc_id", "f.text_key", "n_bytes",
-        F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
-        F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "kept",
+    facts = marked.select("d.doc_id", "d.text_key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(binary, 256).alias("sha"), c)
+    return facts.select(
+        "doc_id", "text_key", "n_bytes",
+        F.coalesce("c.n_removed", F.lit(0)).alias("n_removed"), F.coalesce("c.n_spans", F.lit(0)).alias("n_spans"),
+        F.coalesce("c.kept_sha256", "sha").alias("kept_sha256"), "c.kept",
     )
 
 
@@ -304,11 +314,13 @@ def cut_passages(df: DataFrame, length: int = LENGTH) -> DataFrame:
     Every row stays, with a null text if it had one, and with the columns of `df`, whatever their names; repeated rows
     repeat each other, so all of them are cut. An empty table gives an empty result.
     """
-    cut = remove_passages(df, length).where("kept is not null").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "kept"
-    ).dropDuplicates(["_id", "_key"])
-    same = df["doc_id"].eqNullSafe(cut["_id"]) & (text_key("text") == cut["_key"])
-    text = F.coalesce(cut["kept"], df["text"])
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    passages = repeated_passages(docs.withColumn("text_key", text_key()), length)
+    marks = marks_of(passages).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "runs")
+    # The runs go to the rows, so the texts move once; texts without runs don't pass through Python.
+    same = df["doc_id"].eqNullSafe(marks["_id"]) & (text_key("text") == marks["_key"])
+    marked = F.when(marks["runs"].isNotNull(), df["text"])
+    text = F.coalesce(_cut(marked, marks["runs"])["kept"], df["text"])
     new = {"text": text, "n_chars": F.length(text).cast("long")}
     columns = [new.get(c, df[f"`{c}`"]).alias(c) for c in df.columns]
-    return df.join(cut, same, "left").select(*columns)
+    return df.join(marks, same, "left").select(*columns)
