@@ -426,7 +426,9 @@ def ingest(
     run.commit((m.key, places[m.vehicle_type]) for m in _good(months))
     run.finish()
 
-    outcomes = [m.report() for m in (*months, *unchanged, *absent)]
+    # Footers come back in the order in which tasks read them.
+    landed = sorted(months, key=lambda m: (m.vehicle_type, m.year, m.month, m.file_name))
+    outcomes = [m.report() for m in (*landed, *unchanged, *absent)]
     if on_error == "raise" and any(m.error for m in months):
         failed = {m.file_name: m.error for m in months if m.error}
         raise IngestError(f"{len(failed)} of {len(months)} files rejected: {failed}")
