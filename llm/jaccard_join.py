@@ -23,7 +23,8 @@ of a group aren't compared with each other, so only the rest go to several block
 sets in tokens, drop pairs that can't link; the texts of the other pairs are compared exactly.
 
 Texts are stored once, beside the facts of their set, and never shuffled as a whole: what is compared or combined is chosen
-by the ids of its nodes, which are broadcast up to BROADCAST_NODES and joined by a shuffle beyond.
+by the ids of its nodes, which are broadcast up to BROADCAST_NODES and joined by a shuffle beyond. Tables of groups and components
+are joined by shuffle also while they are small, as each of many broadcasts would take memory on the driver.
 
 Defined results: a null or empty text has an empty set, links with nothing and is its own component;
 less than SHINGLE words make one shingle; repeated rows share a component; with null ids
@@ -465,7 +466,7 @@ def groups_of(entries: DataFrame) -> DataFrame:
 
 def labelled(members: DataFrame, known: DataFrame) -> DataFrame:
     """The members of groups, with the component known of each node."""
-    return members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return members.join(known.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def _as_links(known: DataFrame) -> DataFrame:
@@ -476,7 +477,7 @@ def _as_links(known: DataFrame) -> DataFrame:
 def listed(members: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of nodes of one small group that differ in component and that sizes and brief sketches don't exclude."""
     mixed = members.groupBy("group").agg((F.min("component") < F.max("component")).alias("mixed"))
-    nodes = members.join(mixed.where("mixed"), "group").join(sketches.select("node", "brief"), "node")
+    nodes = members.join(mixed.where("mixed").hint("merge"), "group").join(sketches.select("node", "brief"), "node")
     groups = nodes.groupBy("group").agg(F.collect_list(F.struct("size", "node", "component", "brief")).alias("nodes"))
     one = groups.select("nodes", F.explode("nodes").alias("x"))
 
@@ -501,17 +502,17 @@ def gathered(members: DataFrame) -> DataFrame:
     """
     counts = members.groupBy("group").agg(F.count("*").alias("n"), (F.min("component") < F.max("component")).alias("mixed"))
     counts = counts.where("mixed").select("group", "n")
-    rows = stash(members.select("group", "node", "component", "size").join(counts, "group"), "mixed")
+    rows = stash(members.select("group", "node", "component", "size").join(counts.hint("merge"), "group"), "mixed")
     homes = rows.groupBy("node").agg(F.max_by("group", F.struct("n", "group")).alias("home"))
-    shared = rows.join(homes, "node").groupBy("group", "n", "home").agg(F.count("*").alias("k"))
+    shared = rows.join(homes.hint("merge"), "node").groupBy("group", "n", "home").agg(F.count("*").alias("k"))
     best = shared.groupBy("group", "n").agg(F.max_by("home", F.struct("k", "home")).alias("home"), F.max("k").alias("k"))
     target = F.when(2 * F.col("k") >= F.col("n"), F.col("home")).otherwise(F.col("group"))
     targets = stash(best.select("group", "n", target.alias("target")), "targets")
     pairs = targets.groupBy("target").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
-    united = rows.join(targets.select("group", "target"), "group").select("target", "node").distinct()
-    united = united.groupBy("target").agg(F.count("*").alias("all")).join(pairs, "target")
-    united = targets.join(united, "target").select("group", F.when(F.col("all") * F.col("all") <= F.col("pairs"), F.col("target")).alias("into"))
-    moved = rows.join(united, "group").withColumn("group", F.coalesce("into", "group"))
+    united = rows.join(targets.select("group", "target").hint("merge"), "group").select("target", "node").distinct()
+    united = united.groupBy("target").agg(F.count("*").alias("all")).join(pairs.hint("merge"), "target")
+    united = targets.join(united.hint("merge"), "target").select("group", F.when(F.col("all") * F.col("all") <= F.col("pairs"), F.col("target")).alias("into"))
+    moved = rows.join(united.hint("merge"), "group").withColumn("group", F.coalesce("into", "group"))
     return stash(moved.select("group", "node", "component", "size").distinct(), "gathered")
 
 
@@ -525,7 +526,7 @@ def dealt(members: DataFrame) -> DataFrame:
     counts = members.groupBy("group", "component").agg(F.count("*").alias("n"))
     main = F.max_by("component", F.struct("n", "component")).alias("main")
     groups = counts.groupBy("group").agg(main, F.sum("n").alias("members"), (F.sum("n") - F.max("n")).alias("asking"))
-    nodes = members.join(groups, "group").withColumn("asks", F.col("component") != F.col("main"))
+    nodes = members.join(groups.hint("merge"), "group").withColumn("asks", F.col("component") != F.col("main"))
 
     def places(role: int, mine: str, other: str) -> F.Column:
         block = F.pmod(F.xxhash64("node"), F.ceil(F.col(mine) / BLOCK_NODES)).cast("int")
