@@ -18,8 +18,9 @@ the least node of most of its groups. Links found make components, and only node
 share a group are compared further; equal groups count once. In groups of at most SMALL nodes those pairs of fitting size are
 listed, less than SMALL for each member. Larger groups are gathered if most of their nodes are the same, as those of the
 entries of near copies, and compared in blocks of BLOCK_NODES: first each node with the nearest,
-then, with the components so found, all that differ in component. Nodes of the component that has most
-of a group aren't compared with each other, so only the rest go to several blocks. Parity sketches, which never differ in more bits than the
+then each component with each other by the BRIDGES pairs that are nearest, as one link unites two components and
+more of them grow with the square of a group's size; at last, with the components so found, all that differ in component.
+Nodes of the component that has most of a group aren't compared with each other, so only the rest go to several blocks. Parity sketches, which never differ in more bits than the
 sets in tokens, drop pairs that can't link; the texts of the other pairs are compared exactly.
 
 Texts are stored once, beside the facts of their set, and never shuffled as a whole: what is compared or combined is chosen
@@ -51,7 +52,9 @@ CLASS_RATIO = 1.5
 SMALL = 32
 BRIEF = 16
 BLOCK_NODES = 2048
+BRIDGES = 4
 MEMBER, ASKING = 0, 1
+NEAREST, BETWEEN, ALL = "nearest", "between", "all"
 BROADCAST_NODES = 1_000_000
 HOT_TOKENS = 1_000_000
 FINGERPRINT, RUN_TOKENS = 40, 1 << 20
@@ -385,11 +388,22 @@ def _folded(sketch: np.ndarray, length: int) -> np.ndarray:
     return sketch
 
 
-def _across(threshold: int, nearest: bool):
+def _bridges(first: np.ndarray, second: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Places of the BRIDGES rows that differ least for each (first, second)."""
+    order = np.lexsort((differ, second, first))
+    f, s = first[order], second[order]
+    begins = np.flatnonzero(np.append(True, (f[1:] != f[:-1]) | (s[1:] != s[:-1]))[: len(f)])
+    rank = np.arange(len(f)) - np.repeat(begins, np.diff(np.append(begins, len(f))))
+    return order[rank < BRIDGES]
+
+
+def _across(threshold: int, which: str):
     """Pairs of asking nodes and others of one block, of different components, that sizes and sketches don't exclude.
 
-    With `nearest`, only the pair of each asking node whose sketches differ least.
+    NEAREST: only the pair of each asking node whose sketches differ least. BETWEEN: only the BRIDGES pairs of
+    each two components whose sketches differ least. ALL: all of them.
     """
+    nearest = which == NEAREST
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.take(np.argsort(table["size"].to_numpy(), kind="stable"))
@@ -397,7 +411,7 @@ def _across(threshold: int, nearest: bool):
         role, asks = table["role"].to_numpy(), table["asks"].to_numpy(zero_copy_only=False)
         sketches = [np.frombuffer(x, np.uint8) for x in table["sketch"].to_pylist()]
         length = np.array([len(x) for x in sketches])
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        left, right, apart = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         best, least = np.full(len(node), -1), np.full(len(node), 1 << 60)
         for mine in np.unique(length[role == ASKING]).tolist():
             asking = np.flatnonzero((length == mine) & (role == ASKING))
@@ -421,12 +435,21 @@ def _across(threshold: int, nearest: bool):
                     if nearest and len(y) and differ.min() < least[x]:
                         least[x], best[x] = differ.min(), y[differ.argmin()]
                     elif not nearest:
-                        left.append(np.full(len(y), node[x]))
-                        right.append(node[y])
+                        if which == BETWEEN:
+                            kept = _bridges(np.zeros(len(y)), component[y], differ)
+                            y, differ = y[kept], differ[kept]
+                            apart.append(differ)
+                        left.append(np.full(len(y), x))
+                        right.append(y)
         if nearest:
             found = np.flatnonzero(best >= 0)
-            left, right = [node[found]], [node[best[found]]]
-        return pa.table({"a": pa.array(np.concatenate(left)), "b": pa.array(np.concatenate(right))})
+            left, right = [found], [best[found]]
+        a, b = np.concatenate(left), np.concatenate(right)
+        if which == BETWEEN:
+            p, q = component[a], component[b]
+            kept = _bridges(np.minimum(p, q), np.maximum(p, q), np.concatenate(apart))
+            a, b = a[kept], b[kept]
+        return pa.table({"a": pa.array(node[a]), "b": pa.array(node[b])})
 
     return compare
 
@@ -516,17 +539,17 @@ def gathered(members: DataFrame) -> DataFrame:
     return stash(moved.select("group", "node", "component", "size").distinct(), "gathered")
 
 
-def dealt(members: DataFrame) -> DataFrame:
+def dealt(members: DataFrame, ready: bool = False) -> DataFrame:
     """(group, i, j, role, asks, node, component, size): the members of large groups of several components, dealt into blocks.
 
     Of two nodes that differ in component, one at least is outside of the component that has most of the group. Only these ask:
-    block i of asking nodes meets block j of all members.
+    block i of asking nodes meets block j of all members. Groups that are gathered already (`ready`) stay as they are.
     """
-    members = gathered(members)
+    members = members if ready else gathered(members)
     counts = members.groupBy("group", "component").agg(F.count("*").alias("n"))
     main = F.max_by("component", F.struct("n", "component")).alias("main")
     groups = counts.groupBy("group").agg(main, F.sum("n").alias("members"), (F.sum("n") - F.max("n")).alias("asking"))
-    nodes = members.join(groups.hint("merge"), "group").withColumn("asks", F.col("component") != F.col("main"))
+    nodes = members.join(groups.where("asking > 0").hint("merge"), "group").withColumn("asks", F.col("component") != F.col("main"))
 
     def places(role: int, mine: str, other: str) -> F.Column:
         block = F.pmod(F.xxhash64("node"), F.ceil(F.col(mine) / BLOCK_NODES)).cast("int")
@@ -540,10 +563,10 @@ def dealt(members: DataFrame) -> DataFrame:
     return nodes.select("group", "place.i", "place.j", "place.role", "asks", "node", "component", "size")
 
 
-def blocks(members: DataFrame, sketches: DataFrame, threshold: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of nodes of one large group that differ in component and may link, compared block by block."""
-    nodes = dealt(members).join(sketches.select("node", "sketch"), "node")
-    pairs = nodes.groupBy("group", "i", "j").applyInArrow(_across(threshold, nearest), "a long, b long")
+def blocks(members: DataFrame, sketches: DataFrame, threshold: int, which: str) -> DataFrame:
+    """Pairs (a, b) of nodes of one gathered group that differ in component and may link (see `_across`), compared block by block."""
+    nodes = dealt(members, ready=True).join(sketches.select("node", "sketch"), "node")
+    pairs = nodes.groupBy("group", "i", "j").applyInArrow(_across(threshold, which), "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -580,12 +603,13 @@ def join_similar(
     stars = possible(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")), sketches, threshold)
     known = components(verify(stars, texts, shingle, threshold))
     members = members.join(sketches.select("node", "size"), "node").select("group", "members", "node", "size")
-    large = members.where(F.col("members") > SMALL)
-    pairs = stash(blocks(labelled(large, known), sketches, threshold, nearest=True), "nearest")
-    known = components(_as_links(known).union(verify(pairs, texts, shingle, threshold)))
-    now = stash(labelled(members, known), "labelled")
-    few = possible(listed(now.where(F.col("members") <= SMALL), sketches, threshold), sketches, threshold)
-    rest = blocks(now.where(F.col("members") > SMALL), sketches, threshold, nearest=False)
+    large = gathered(labelled(members.where(F.col("members") > SMALL), known)).drop("component")
+    for which in (NEAREST, BETWEEN):
+        pairs = stash(blocks(labelled(large, known), sketches, threshold, which), which)
+        known = components(_as_links(known).union(verify(pairs, texts, shingle, threshold)))
+    small = stash(labelled(members.where(F.col("members") <= SMALL), known), "labelled")
+    few = possible(listed(small, sketches, threshold), sketches, threshold)
+    rest = blocks(labelled(large, known), sketches, threshold, ALL)
     pairs = stash(few.union(rest).distinct(), "across")
     final = components(_as_links(known).union(verify(pairs, texts, shingle, threshold)))
 
