@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import stash
+from llm.common import in_few_files, stash
 
 
 def _lowest(edges: DataFrame) -> DataFrame:
@@ -40,8 +40,8 @@ def components(links: DataFrame) -> DataFrame:
     round after round.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
-    edges = stash(edges, "edges")
+    edges = stash(in_few_files(edges), "edges")
     while not _settled(edges):
-        edges = stash(_small_star(_large_star(edges)), "edges")
+        edges = stash(in_few_files(_small_star(_large_star(edges))), "edges")
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(edges.select("v", "v")).distinct()

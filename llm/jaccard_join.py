@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import mix, raw, slots, stash, text_key, words_of
+from llm.common import in_few_files, mix, raw, slots, stash, text_key, words_of
 from llm.components import components
 
 SHINGLE, THRESHOLD = 4, 85
@@ -146,20 +146,20 @@ def combinations(row: np.ndarray, token: np.ndarray, sizes: np.ndarray, threshol
     return np.concatenate(out_row), np.concatenate(out_key)
 
 
-def pack_differences(values: np.ndarray) -> bytes:
-    """Sorted distinct numbers below 2^40 as 3-byte differences; larger ones are spelled as steps of 2^24 - 1."""
-    step = np.diff(values, prepend=np.int64(0))
+def pack_differences(values: np.ndarray, start: int = 0) -> bytes:
+    """Sorted distinct numbers below 2^40 as 3-byte differences, the first from `start`; larger ones are spelled as steps of 2^24 - 1."""
+    step = np.diff(values, prepend=np.int64(start))
     whole = step // 0xFFFFFF
     out = np.repeat(np.int64(0xFFFFFF), len(values) + int(whole.sum()))
     out[np.cumsum(whole + 1) - 1] = step % 0xFFFFFF
     return out.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
 
-def unpack_differences(data: bytes) -> np.ndarray:
+def unpack_differences(data: bytes, start: int = 0) -> np.ndarray:
     step = np.zeros((len(data) // 3, 4), np.uint8)
     step[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
     step = step.view("<u4").reshape(-1).astype(np.int64)
-    return np.cumsum(step)[step != 0xFFFFFF]
+    return np.cumsum(step)[step != 0xFFFFFF] + start
 
 
 def fingerprints(token: np.ndarray) -> np.ndarray:
@@ -171,6 +171,9 @@ def hot_tokens(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     spark = docs.sparkSession
     buckets = 4 * slots(spark)
 
+    def least_of(bucket: int) -> int:
+        return -(-(bucket << FINGERPRINT) // buckets)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
         size = 0
@@ -183,8 +186,10 @@ def hot_tokens(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
             once, twice, more = [], [], []
             for b, e in zip(begins.tolist(), np.append(begins[1:], len(values)).tolist(), strict=True):
                 again = b + np.flatnonzero(times[b:e] > 1)
-                once.append(pack_differences(values[b:e]))
-                twice.append(pack_differences(values[again]))
+                # Differences from 0 would take up to 65,536 steps for each bucket.
+                start = least_of(int(bucket[b]))
+                once.append(pack_differences(values[b:e], start))
+                twice.append(pack_differences(values[again], start))
                 more.append((times[again] - 1).astype("<u4").tobytes())
             blobs = [pa.array(x, pa.binary()) for x in (once, twice, more)]
             return pa.RecordBatch.from_arrays([pa.array(bucket[begins].astype(np.int32)), *blobs], ["bucket", "once", "twice", "more"])
@@ -216,7 +221,8 @@ def hot_tokens(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
                 if row["bucket"] != present and values:
                     yield total()
                 present = row["bucket"]
-                once, twice = unpack_differences(row["once"]), unpack_differences(row["twice"])
+                start = least_of(present)
+                once, twice = unpack_differences(row["once"], start), unpack_differences(row["twice"], start)
                 values += [once, twice]
                 times += [np.ones(len(once), np.int64), np.frombuffer(row["more"], "<u4").astype(np.int64)]
         if values:
@@ -300,7 +306,7 @@ def sets_table(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
 
 def among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """The rows whose node is among `nodes` (one column `node`), each node once. Rows that aren't wanted don't move while the nodes are few."""
-    nodes = stash(nodes.distinct(), "nodes")
+    nodes = stash(in_few_files(nodes.distinct()), "nodes")
     few = nodes.count() <= BROADCAST_NODES
     return rows.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").dropDuplicates(["node"])
 
