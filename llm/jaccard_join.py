@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import in_few_files, mix, raw, slots, stash, text_key, words_of
+from llm.common import in_few_files, mix, raw, settle, slots, stash, text_key, words_of
 from llm.components import components
 
 SHINGLE, THRESHOLD = 4, 85
@@ -632,7 +632,8 @@ def keep_first(df: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD
     Rows without words all stay, repeated or not, also those with null ids. Of rows with equal id and text one stays, whichever their
     other columns are. The columns are those of `df`, whatever their names; an empty table gives an empty result.
     """
-    every = stash(join_similar(df, shingle, threshold), "joined")
+    # The stored texts and sets go before the rows are filtered.
+    every = settle(df.sparkSession, lambda: join_similar(df, shingle, threshold), "joined")
     rows = every.where("n_shingles > 0")
     # The first row of each component, without bringing a component's rows together.
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("row"))

@@ -3,7 +3,8 @@
 Every window of `length` bytes has an anchor: its K-byte substring of least hash. Equal windows
 have equal anchors at equal places, so windows in a row with one anchor are cut out as one string, and
 only strings with the same anchor need comparing. Strings that occur twice or more are repeated
-throughout. For an anchor with several strings, their collection is built column by
+throughout. A window has at least half of its other bytes on one side of its anchor, so strings whose nearest bytes there differ, on both
+sides, from those of all others of the anchor share no window, as most that share an anchor by chance. For an anchor with several other strings, their collection is built column by
 column, from the right: each round puts one symbol before every string that reaches the column,
 which gives the next column of the Burrows-Wheeler transform by a stable sort of the last order, and the
 common prefixes of neighbours by minima of the last ones. A window is repeated if its
@@ -11,7 +12,8 @@ common prefix with a neighbour has `length` bytes.
 
 As the strings are aligned at their anchor, a round needs the last round's order only, so rounds are kept in
 memory for a bounded number of strings; what would be sequential external files are Spark's
-sorted shuffle files, which bring an anchor's strings together. Anchors with more than GROUP_STRINGS strings
+sorted shuffle files, which bring an anchor's strings together. Texts are shuffled for the strings and for the cuts by two queries,
+so that the files of the first go before the second begins. Anchors with more than GROUP_STRINGS strings
 are split into single windows, which are counted by hash.
 
 Defined results: a null text is empty; repeated rows are documents like others, so their passages are
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from llm.common import Prefix, raw, stash, text_key
+from llm.common import Prefix, raw, settle, stash, text_key
 
 LENGTH, K = 200, 32
 CHUNK = 1 << 19
@@ -37,8 +39,16 @@ GROUP_STRINGS, BATCH_STRINGS = 20_000, 20_000
 _POSITION = np.uint64((1 << 20) - 1)
 
 
+def _near(prefix: Prefix, start: np.ndarray, end: np.ndarray, inside: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """32-bit hashes of the bytes from `start` to `end`, where the string has them all; elsewhere its own hash."""
+    h = s.copy()
+    h[inside] = prefix.of(start[inside], end[inside])
+    return (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def anchored(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(anchor hash, string hash, start, windows, place of the anchor) of the strings of one text, in chunks."""
+    """(anchor hash, string hash, start, windows, place of the anchor, hashes of the bytes just left and right of it) of the strings of one text, in chunks."""
+    half = (length - K) // 2
     for base in range(0, max(len(data) - length + 1, 0), CHUNK):
         part = data[base : base + CHUNK + length - 1]
         prefix = Prefix(part)
@@ -57,11 +67,15 @@ def anchored(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
         first = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
         count = np.diff(np.append(first, len(where)))
         anchor = where[first]
-        yield h[anchor], prefix.of(first, first + count + length - 1), first + base, count, anchor - first
+        end = first + count + length - 1
+        s = prefix.of(first, end)
+        left = _near(prefix, anchor - half, anchor, anchor - half >= first, s)
+        right = _near(prefix, anchor + K, anchor + K + half, anchor + K + half <= end, s)
+        yield h[anchor], s, first + base, count, anchor - first, left, right
 
 
 def strings_of(docs: DataFrame, length: int) -> DataFrame:
-    """(m, s, doc_id, text_key, start, windows, place) of every string of every document."""
+    """(m, s, doc_id, text_key, start, windows, place, near_left, near_right) of every string of every document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,15 +87,16 @@ def strings_of(docs: DataFrame, length: int) -> DataFrame:
                     owner += [k] * len(found[0])
             if not parts:
                 continue
-            m, s, start, count, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+            m, s, start, count, place, left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
             columns = [
                 pa.array(m.view(np.int64)), pa.array(s.view(np.int64)),
                 pa.array(names, pa.int64()).take(pa.array(owner)), pa.array(keys, pa.int64()).take(pa.array(owner)),
-                pa.array(start), pa.array(count.astype(np.int32)), pa.array(place.astype(np.int32)),
+                pa.array(start), pa.array(count.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(left), pa.array(right),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["m", "s", "doc_id", "text_key", "start", "windows", "place"])
+            names_ = ["m", "s", "doc_id", "text_key", "start", "windows", "place", "near_left", "near_right"]
+            yield pa.RecordBatch.from_arrays(columns, names_)
 
-    schema = "m long, s long, doc_id long, text_key long, start long, windows int, place int"
+    schema = "m long, s long, doc_id long, text_key long, start long, windows int, place int, near_left int, near_right int"
     return docs.mapInArrow(cut, schema)
 
 
@@ -204,13 +219,17 @@ def repeated_passages(docs: DataFrame, length: int) -> DataFrame:
     rows = rows.withColumns({
         "n": F.count("*").over(Window.partitionBy("m", "s")),
         "total": F.count("*").over(by_anchor),
-        "kinds": F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(by_anchor),
     })
-    rows = stash(rows.where("total > 1"), "strings")
+    rows = rows.where("total > 1")
+    # Only strings with the bytes left or right of the anchor of another string can share a window with one.
+    alike = [F.count("*").over(Window.partitionBy("m", side)) > F.col("n") for side in ("near_left", "near_right")]
+    rows = rows.withColumn("alike", alike[0] | alike[1])
+    rows = rows.withColumn("kinds", F.sum(F.when(F.col("alike") & (F.col("nth") == 1), 1).otherwise(0)).over(by_anchor))
+    rows = stash(rows.where("n > 1 or alike").drop("total", "near_left", "near_right"), "strings")
 
     # One of each string of anchors that have a single one among several.
-    open_anchors = rows.where("n = 1 and kinds > 1").select("m").distinct()
-    one_each = rows.where("nth = 1 and kinds > 1").join(open_anchors, "m", "left_semi")
+    open_anchors = rows.where("n = 1 and alike").select("m").distinct()
+    one_each = rows.where("nth = 1 and alike").join(open_anchors, "m", "left_semi")
     entry = F.struct("m", "s", "n", "kinds", "start", "windows", "place")
     row_key = F.xxhash64("doc_id", "text_key").alias("row_key")
     wanted = one_each.groupBy(row_key, "text_key").agg(F.collect_list(entry).alias("strings"))
@@ -245,19 +264,25 @@ def repeated_passages(docs: DataFrame, length: int) -> DataFrame:
         found = single.where("n = 1").join(twice, ["m", "w"], "left_semi")
         runs = runs.union(found.select("m", "s", "low", F.col("low").alias("high")))
 
+    runs = stash(runs, "runs")
     whole = rows.where("n > 1").select(
         "doc_id", "text_key", F.col("start").alias("low"), (F.col("start") + F.col("windows") + (length - 1)).alias("high")
     )
-    partly = rows.where("n = 1 and kinds > 1").join(runs, ["m", "s"]).select(
+    partly = rows.where("n = 1 and alike").join(runs, ["m", "s"]).select(
         "doc_id", "text_key", (F.col("start") + F.col("low")).alias("low"),
         (F.col("start") + F.col("high") + length).alias("high"),
     )
     return whole.union(partly)
 
 
-def marks_of(passages: DataFrame) -> DataFrame:
-    """(doc_id, text_key, runs) of concerned documents; at most a few runs for each anchor of the document."""
-    return passages.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+def marks_of(docs: DataFrame, length: int) -> DataFrame:
+    """(doc_id, text_key, runs) of concerned documents, stored; at most a few runs for each anchor of the document."""
+
+    def marks() -> DataFrame:
+        passages = repeated_passages(docs, length)
+        return passages.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+
+    return settle(docs.sparkSession, marks, "marks")
 
 
 def covered(n: int, runs: list[dict]) -> np.ndarray:
@@ -298,7 +323,7 @@ def remove_passages(
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = docs.withColumn("text_key", text_key())
     c = _cut(F.when(F.col("runs").isNotNull(), F.col("text")), F.col("runs")).alias("c")
-    marked = docs.alias("d").join(marks_of(repeated_passages(docs, length)).alias("m"), _same_row("d", "m"), "left")
+    marked = docs.alias("d").join(marks_of(docs, length).alias("m"), _same_row("d", "m"), "left")
     binary = F.encode("text", "UTF-8")
     facts = marked.select("d.doc_id", "d.text_key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(binary, 256).alias("sha"), c)
     return facts.select(
@@ -315,8 +340,7 @@ def cut_passages(df: DataFrame, length: int = LENGTH) -> DataFrame:
     repeat each other, so all of them are cut. An empty table gives an empty result.
     """
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    passages = repeated_passages(docs.withColumn("text_key", text_key()), length)
-    marks = marks_of(passages).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "runs")
+    marks = marks_of(docs.withColumn("text_key", text_key()), length).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "runs")
     # The runs go to the rows, so the texts move once; texts without runs don't pass through Python.
     same = df["doc_id"].eqNullSafe(marks["_id"]) & (text_key("text") == marks["_key"])
     marked = F.when(marks["runs"].isNotNull(), df["text"])
